@@ -7,6 +7,7 @@ push filters into the scan; every writer is a single distributed write.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,24 +81,25 @@ def write_json(df: DataFrame, path: str) -> str:
 
 
 def append_rows(df: DataFrame, path: str, key: str | None = None,
-                fmt: str = "parquet") -> DataFrame:
-    """Append scored rows to an output table.
+                fmt: str = "parquet") -> int:
+    """Append scored rows to an output table; returns rows written.
 
     With ``key`` the append is idempotent: rows whose key is already in the
     sink are removed by a ``left_anti`` join before writing (the reference
-    re-inserted duplicates on every call).
+    re-inserted duplicates on every call).  The written count is observed
+    during the write itself, so the data is not read twice.
     """
+    from pyspark.sql import Observation
     spark = df.sparkSession
     new = df
     if key is not None:
-        try:
-            existing = spark.read.format(fmt).load(path).select(key)
-            new = df.join(existing, on=key, how="left_anti")
-        except Exception as e:  # first write: sink does not exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-    new.write.mode("append").format(fmt).save(path)
-    return new
+        # an empty append creates the sink (with its schema) on first use
+        df.limit(0).write.mode("append").format(fmt).save(path)
+        existing = spark.read.format(fmt).load(path).select(key)
+        new = df.join(existing, on=key, how="left_anti")
+    obs = Observation(f"append_rows_{uuid.uuid4().hex[:8]}")
+    new.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").format(fmt).save(path)
+    return int(obs.get.get("n", 0))
 
 
 def page(df: DataFrame, order_by: Sequence[str], start: int,
@@ -129,7 +131,7 @@ def ingest(df: DataFrame, output_path: str, source: str) -> DataFrame:
     rows = 0
     if not is_empty(df):
         from pyspark.sql import Observation
-        obs = Observation("ingest")
+        obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(
             "overwrite").parquet(output_path)
         rows = int(obs.get["rows"])
