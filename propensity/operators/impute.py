@@ -17,6 +17,8 @@ from .split import unit_hash
 
 def fit_means(train: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     """E1 fit: mean of the non-null values of each column (one pass)."""
+    if not cols:
+        return {}
     row = train.agg(*[F.avg(c).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
@@ -28,6 +30,8 @@ def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
     map-side combining, then keep the top row per column (a window over
     distinct values only).
     """
+    if not cols:
+        return {}
     structs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                for c in cols]
     lv = train.select(F.inline(F.array(*structs))).where(F.col("value").isNotNull())

@@ -94,7 +94,7 @@ def append_rows(df: DataFrame, path: str, key: str | None = None,
     new = df
     if key is not None:
         # an empty append creates the sink (with its schema) on first use
-        df.limit(0).write.mode("append").format(fmt).save(path)
+        spark.createDataFrame([], df.schema).write.mode("append").format(fmt).save(path)
         existing = spark.read.format(fmt).load(path).select(key)
         new = df.join(existing, on=key, how="left_anti")
     obs = Observation(f"append_rows_{uuid.uuid4().hex[:8]}")
