@@ -13,6 +13,7 @@ import itertools
 import random
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -65,7 +66,14 @@ def train_pipeline(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence
     """E10 + T1 in one ``Pipeline`` fitted on the training rows."""
     est = gbt(label, params=params) if model == "gbt" else logistic(label)
     stages = feature_pipeline(num_cols, cat_cols).getStages() + [est]
-    return Pipeline(stages=stages).fit(train)
+    # each stage fit and every boosting round reads the input again: keep the
+    # projected training rows (memory, spilling to disk) for the fit only
+    used = list(dict.fromkeys([*num_cols, *cat_cols, label]))
+    data = train.select(*used).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

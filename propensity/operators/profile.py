@@ -78,8 +78,11 @@ def value_counts(df: DataFrame, cols: Sequence[str], dropna: bool = False) -> Da
     share of all rows.  One scan and one aggregate for all columns."""
     lv = long_values(df, cols, keep_null=not dropna)
     vc = lv.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column_name")
-    return vc.withColumn("share", F.col("n") / F.sum("n").over(w))
+    # per-column totals: one row per column, joined back (no window that
+    # would put every distinct value of a column into one task)
+    tot = vc.groupBy("column_name").agg(F.sum("n").alias("__tot"))
+    return vc.join(tot, "column_name").select(
+        "column_name", "value", "n", (F.col("n") / F.col("__tot")).alias("share"))
 
 
 def top_values(df: DataFrame, cols: Sequence[str], k: int = 7,
@@ -208,21 +211,57 @@ def spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Full matrix in long form (both orders and the diagonal)."""
+    """Full matrix in long form (both orders and the diagonal), on
+    pairwise-complete rows like pandas.
+
+    One aggregate counts the complete rows of every pair and of all columns
+    together.  Pairs whose complete rows are exactly the all-complete rows
+    (equal counts, subset relation) share one rank pass: distinct complete
+    tuples are counted, each column's average ranks are joined on once, and
+    one aggregate gives every pair's centred sums.  Other pairs are computed
+    one by one with ``spearman_pair``.
+    """
     cols = list(cols)
-    parts = []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            s = spearman_pair(df, a, b)
-            parts.append(s)
-            parts.append(s.select(F.col("column_b").alias("column_a"),
-                                  F.col("column_a").alias("column_b"), "rho"))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    all_ok = F.lit(True)
+    for c in cols:
+        all_ok = all_ok & F.col(c).isNotNull()
+    cnt = x.agg(F.count_if(all_ok).alias("__all"),
+                *[F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"__pair_{a}__{b}")
+                  for a, b in pairs]).first()
+    shared = [(a, b) for a, b in pairs if cnt[f"__pair_{a}__{b}"] == cnt["__all"]]
+    parts = [spearman_pair(df, a, b) for a, b in pairs if (a, b) not in shared]
+    if shared:
+        used = sorted({c for p in shared for c in p}, key=cols.index)
+        tup = x.where(all_ok).groupBy(*used).agg(F.count(F.lit(1)).alias("c"))
+        j = tup
+        for c in used:
+            r = average_ranks(tup.groupBy(c).agg(F.sum("c").alias("c")), c)
+            j = j.join(r.select(c, F.col("rank").alias(f"__r_{c}"),
+                                F.col("n").alias(f"__n_{c}")), c)
+        n = F.col(f"__n_{used[0]}")
+        m = (n + 1) / 2.0
+        d = {c: F.col(f"__r_{c}") - m for c in used}
+        aggs = [F.sum(F.col("c") * d[c] * d[c]).alias(f"__ss_{c}") for c in used]
+        aggs += [F.sum(F.col("c") * d[a] * d[b]).alias(f"__sp_{a}__{b}") for a, b in shared]
+        sums = j.agg(*aggs)
+        parts.append(_long(sums, [F.struct(
+            F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+            F.try_divide(F.col(f"__sp_{a}__{b}"),
+                         F.sqrt(F.col(f"__ss_{a}") * F.col(f"__ss_{b}"))).alias("rho"))
+            for a, b in shared]))
+    sym = []
+    for p in parts:
+        sym.append(p)
+        sym.append(p.select(F.col("column_b").alias("column_a"),
+                            F.col("column_a").alias("column_b"), "rho"))
     diag = df.agg(*[F.count_distinct(c).alias(c) for c in cols])
-    parts.append(_long(diag, [F.struct(
+    sym.append(_long(diag, [F.struct(
         F.lit(c).alias("column_a"), F.lit(c).alias("column_b"),
         F.when(F.col(c) > 1, F.lit(1.0)).cast("double").alias("rho")) for c in cols]))
-    out = parts[0]
-    for p in parts[1:]:
+    out = sym[0]
+    for p in sym[1:]:
         out = out.unionByName(p)
     return out
 
