@@ -133,6 +133,31 @@ def write_if_valid(df: DataFrame, status: DataFrame, path: str) -> bool:
     return ok
 
 
+def rules_from_catalogue(catalogue: Mapping[str, Mapping]) -> dict[str, dict]:
+    """Read a schema catalogue in the reference's layout
+    ``{column: {type: t, constraints: {enum: [...] | minimum: a, maximum: b}}}``
+    (e.g. loaded from its YAML file) into the flat rule dict used here."""
+    out: dict[str, dict] = {}
+    for col, spec in catalogue.items():
+        rule = {"type": spec["type"]}
+        rule.update(spec.get("constraints") or {})
+        out[col] = rule
+    return out
+
+
+def rules_from_yaml(path: str) -> dict[str, dict]:
+    """Load a YAML schema catalogue (driver-side config, not data)."""
+    import yaml
+    with open(path) as f:
+        return rules_from_catalogue(yaml.safe_load(f))
+
+
+def save_status(status: DataFrame, path: str) -> str:
+    """(column_name, status) table as JSON lines, written pass or fail."""
+    status.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
 def spark_schema(rules: Mapping[str, Mapping]) -> T.StructType:
     """Catalogue -> StructType (string/integer/float/boolean/datetime)."""
     m = {"string": T.StringType(), "integer": T.LongType(), "number": T.DoubleType(),

@@ -105,3 +105,49 @@ def q_batch_score(spark, sf):
     return rnd(p.select("lead_id", "probability", "prediction",
                         predicted_label("probability", CUTOFF, strict=False).alias("predicted_label"),
                         lead_score("probability").alias("lead_score")))
+
+
+@query("evaluate_model")
+def q_evaluate_model(spark, sf):
+    """Model probabilities on validation -> 101-point sweep -> optimal
+    cut-off -> F1/precision/recall/accuracy there."""
+    t = _tagged(spark, sf)
+    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    val = model.predict(m, t.where(F.col("split") == "val"), ["converted"])
+    s = val.select(F.col("converted").alias("label"), F.col("probability").alias("score"))
+    from ..operators import metrics
+    return rnd(metrics.scores_at_optimum(metrics.threshold_sweep(s, 100, strict=True)))
+
+
+@query("train_flow")
+def q_train_flow(spark, sf):
+    """D2u: the whole training flow as named steps; returns the test report."""
+    from .pipeline import TrainConfig, train_flow
+    cfg = TrainConfig(params=TREES, rules={
+        "lead_id": {"type": "integer"},
+        "converted": {"type": "integer", "minimum": 0, "maximum": 1},
+        "total_visits": {"type": "float", "minimum": 0, "maximum": 300},
+        "time_on_website": {"type": "float", "minimum": 0, "maximum": 3000},
+        "page_views_per_visit": {"type": "float", "minimum": 0, "maximum": 70},
+        "lead_origin": {"type": "string"}, "lead_source": {"type": "string"},
+        "city": {"type": "string"}, "last_activity": {"type": "string"}})
+    st = train_flow(spark, leads(spark, sf), scratch_path(spark, "train_flow"), cfg).run({})
+    if st.get("stop"):
+        raise RuntimeError("training flow stopped early")
+    return st["report"]
+
+
+@query("predict_flow")
+def q_predict_flow(spark, sf):
+    """A saved model scores the whole lead table into an idempotent
+    sink; running the flow twice writes each lead once."""
+    from .pipeline import predict_flow
+    t = _tagged(spark, sf)
+    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    path = scratch_path(spark, "flow_model")
+    m.write().overwrite().save(path)
+    sink = scratch_path(spark, "flow_scores")
+    flow = predict_flow(spark, path, sink)
+    flow.run({"data": leads(spark, sf)})
+    st = flow.run({"data": leads(spark, sf)})
+    return rnd(st["scores"])
