@@ -34,49 +34,55 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    part_cols: Sequence[str] = (), descending: bool = False,
                    n_buckets: int | None = None, with_totals: bool = False,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", materialize: bool = True) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order.
 
     ``df`` must hold one row per (``part_cols``, ``order_col``) value — group
     first.  Adds ``{prefix}{c}`` (and ``total_{c}`` when asked).  Exact.
+
+    The input is read three times (bucket bounds, bucket totals, the running
+    pass), so it is first checkpointed to the shared checkpoint folder: the
+    upstream plan runs once and a lost executor cannot change the result.
     """
     parts = list(part_cols)
     nb = _n_buckets(df, n_buckets)
     key = -F.col(order_col) if descending else F.col(order_col)
     work = df.withColumn("__k", key.cast("double"))
-    if not parts:
-        work = work.withColumn("__p", F.lit(0))
-        parts_i = ["__p"]
-    else:
-        parts_i = parts
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        work = work.checkpoint(eager=True)
     fracs = [i / nb for i in range(1, nb)]
-    if fracs:
-        bounds = work.groupBy(*parts_i).agg(
-            F.percentile_approx("__k", fracs, 10000).alias("__b"))
-        work = work.join(bounds, parts_i, "left").withColumn(
-            "__bucket", F.size(F.filter(F.coalesce(F.col("__b"), F.array()),
-                                        lambda b: b < F.col("__k")))
-        ).drop("__b")
-    else:
+    if not fracs:
         work = work.withColumn("__bucket", F.lit(0))
-    tot = work.groupBy(*parts_i, "__bucket").agg(
+    elif not parts:
+        # n-1 approximate bounds: a bounded list, used as a literal array
+        b = work.agg(F.percentile_approx("__k", fracs, 10000).alias("b")).first()["b"] or []
+        arr = F.array(*[F.lit(float(x)) for x in b]) if b else F.array().cast("array<double>")
+        work = work.withColumn("__bucket", F.size(F.filter(arr, lambda x: x < F.col("__k"))))
+    else:
+        # one row of bounds per part (e.g. per column): an equi-join
+        bounds = work.groupBy(*parts).agg(F.percentile_approx("__k", fracs, 10000).alias("__b"))
+        work = work.join(F.broadcast(bounds), parts, "left").withColumn(
+            "__bucket", F.size(F.filter(F.coalesce(F.col("__b"), F.array().cast("array<double>")),
+                                        lambda x: x < F.col("__k")))
+        ).drop("__b")
+    tot = work.groupBy(*parts, "__bucket").agg(
         *[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    w_before = (Window.partitionBy(*parts_i).orderBy("__bucket")
+    w_before = (Window.partitionBy(*parts).orderBy("__bucket")
                 .rowsBetween(Window.unboundedPreceding, -1))
     offs = [F.coalesce(F.sum(f"__t_{c}").over(w_before), F.lit(0)).alias(f"__o_{c}")
             for c in sum_cols]
     if with_totals:
-        w_all = Window.partitionBy(*parts_i)
+        w_all = Window.partitionBy(*parts)
         offs += [F.sum(f"__t_{c}").over(w_all).alias(f"total_{c}") for c in sum_cols]
-    off = tot.select(*parts_i, "__bucket", *offs)
-    out = work.join(off, parts_i + ["__bucket"], "inner")
-    w_in = (Window.partitionBy(*parts_i, "__bucket").orderBy("__k")
+    # at most parts x buckets rows: a proven bound for the broadcast
+    off = F.broadcast(tot.select(*parts, "__bucket", *offs))
+    out = work.join(off, parts + ["__bucket"], "inner")
+    w_in = (Window.partitionBy(*parts, "__bucket").orderBy("__k")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"__o_{c}") + F.sum(c).over(w_in))
     drop = ["__k", "__bucket"] + [f"__o_{c}" for c in sum_cols]
-    if not parts:
-        drop.append("__p")
     return out.drop(*drop)
 
 
@@ -112,7 +118,8 @@ def row_number_within(df: DataFrame, part_col: str,
     is global and the per-class offset comes from a tiny count table.
     """
     ranked = global_row_number(df, [F.col(part_col)] + list(order_by), "__g")
-    counts = df.groupBy(part_col).agg(F.count(F.lit(1)).alias("__c"))
+    # class sizes from the checkpointed ranking (the upstream is not re-run)
+    counts = ranked.groupBy(part_col).agg(F.count(F.lit(1)).alias("__c"))
     w = Window.orderBy(F.col(part_col).asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1)
     before = counts.select(part_col, F.col("__c").alias("__class_n"),
