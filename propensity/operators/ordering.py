@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+# side tables above this many rows are joined without a broadcast
+MAX_BROADCAST_ROWS = 1_000_000
+
+
 def _n_buckets(df: DataFrame, n: int | None) -> int:
     if n:
         return max(1, int(n))
@@ -124,8 +128,11 @@ def row_number_within(df: DataFrame, part_col: str,
         Window.unboundedPreceding, -1)
     before = counts.select(part_col, F.col("__c").alias("__class_n"),
                            F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__before"))
-    # one row per class; AQE broadcasts it after measuring its real size
-    out = ranked.join(before, ranked[part_col].eqNullSafe(before[part_col]),
+    # one row per class: counted first, so the broadcast size is proven and
+    # the ranked table is not shuffled for this join
+    n_classes = before.count()
+    small = F.broadcast(before) if n_classes <= MAX_BROADCAST_ROWS else before
+    out = ranked.join(small, ranked[part_col].eqNullSafe(before[part_col]),
                       "inner").drop(before[part_col])
     return out.withColumn(name, F.col("__g") - F.col("__before")).drop(
         "__g", "__before")

@@ -234,17 +234,17 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     parts = [spearman_pair(df, a, b) for a, b in pairs if (a, b) not in shared]
     if shared:
         used = sorted({c for p in shared for c in p}, key=cols.index)
-        tup = x.where(all_ok).groupBy(*used).agg(F.count(F.lit(1)).alias("c"))
+        tup = x.where(all_ok).groupBy(*used).agg(F.count(F.lit(1)).alias("__w"))
         j = tup
         for c in used:
-            r = average_ranks(tup.groupBy(c).agg(F.sum("c").alias("c")), c)
+            r = average_ranks(tup.groupBy(c).agg(F.sum("__w").alias("__w")), c, weight="__w")
             j = j.join(r.select(c, F.col("rank").alias(f"__r_{c}"),
                                 F.col("n").alias(f"__n_{c}")), c)
         n = F.col(f"__n_{used[0]}")
         m = (n + 1) / 2.0
         d = {c: F.col(f"__r_{c}") - m for c in used}
-        aggs = [F.sum(F.col("c") * d[c] * d[c]).alias(f"__ss_{c}") for c in used]
-        aggs += [F.sum(F.col("c") * d[a] * d[b]).alias(f"__sp_{a}__{b}") for a, b in shared]
+        aggs = [F.sum(F.col("__w") * d[c] * d[c]).alias(f"__ss_{c}") for c in used]
+        aggs += [F.sum(F.col("__w") * d[a] * d[b]).alias(f"__sp_{a}__{b}") for a, b in shared]
         sums = j.agg(*aggs)
         parts.append(_long(sums, [F.struct(
             F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
