@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .impute import fit_modes
+from .ordering import global_row_number
 
 
 # ---------------------------------------------------------------- E3 E4
@@ -83,7 +84,8 @@ def one_hot(df: DataFrame, col: str, lvls: Sequence[str], drop_first: bool = Fal
 def level_table(train: DataFrame, col: str) -> DataFrame:
     """E7 fit: (level, code) with codes 0..L-1 in sorted level order."""
     d = train.where(F.col(col).isNotNull()).select(F.col(col).alias("level")).distinct()
-    return d.withColumn("code", (F.row_number().over(Window.orderBy("level")) - 1).cast("int"))
+    r = global_row_number(d, ["level"], "__rn")       # distributed, no one-task window
+    return r.select("level", (F.col("__rn") - 1).cast("int").alias("code"))
 
 
 def ordinal_encode(df: DataFrame, col: str, table: DataFrame, out: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import global_running_sum
 from .split import unit_hash
 
 
@@ -69,11 +70,11 @@ def category_bins(train: DataFrame, col: str) -> DataFrame:
     integer running counts divided by the total, so they are exact."""
     vc = train.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("level")).agg(
         F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = vc.select("level", "n", F.sum("n").over(w).alias("cum"),
-                  F.sum("n").over(Window.partitionBy()).alias("total"))
-    return c.select("level", ((F.col("cum") - F.col("n")) / F.col("total")).alias("lo"),
-                    (F.col("cum") / F.col("total")).alias("hi"))
+    c = global_running_sum(vc, ["level"], ["n"])
+    total = c.agg(F.sum("n")).first()[0] or 0         # one scalar
+    t = F.lit(float(total))
+    return c.select("level", ((F.col("cum_n") - F.col("n")) / t).alias("lo"),
+                    (F.col("cum_n") / t).alias("hi"))
 
 
 def impute_probabilistic(df: DataFrame, train: DataFrame, col: str, key: str,

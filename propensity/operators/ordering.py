@@ -56,6 +56,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
         ensure_checkpoint_dir(df.sparkSession)
         work = work.checkpoint(eager=True)
     fracs = [i / nb for i in range(1, nb)]
+    small = True
     if not fracs:
         work = work.withColumn("__bucket", F.lit(0))
     elif not parts:
@@ -64,9 +65,12 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
         arr = F.array(*[F.lit(float(x)) for x in b]) if b else F.array().cast("array<double>")
         work = work.withColumn("__bucket", F.size(F.filter(arr, lambda x: x < F.col("__k"))))
     else:
-        # one row of bounds per part (e.g. per column): an equi-join
+        # one row of bounds per part (e.g. per column): an equi-join, broadcast
+        # only when the number of parts is counted and small
+        n_parts = work.select(*parts).distinct().count()
+        small = n_parts * nb <= MAX_BROADCAST_ROWS
         bounds = work.groupBy(*parts).agg(F.percentile_approx("__k", fracs, 10000).alias("__b"))
-        work = work.join(F.broadcast(bounds), parts, "left").withColumn(
+        work = work.join(F.broadcast(bounds) if small else bounds, parts, "left").withColumn(
             "__bucket", F.size(F.filter(F.coalesce(F.col("__b"), F.array().cast("array<double>")),
                                         lambda x: x < F.col("__k")))
         ).drop("__b")
@@ -79,8 +83,10 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if with_totals:
         w_all = Window.partitionBy(*parts)
         offs += [F.sum(f"__t_{c}").over(w_all).alias(f"total_{c}") for c in sum_cols]
-    # at most parts x buckets rows: a proven bound for the broadcast
-    off = F.broadcast(tot.select(*parts, "__bucket", *offs))
+    # at most parts x buckets rows (counted above when there are parts)
+    off = tot.select(*parts, "__bucket", *offs)
+    if not parts or small:
+        off = F.broadcast(off)
     out = work.join(off, parts + ["__bucket"], "inner")
     w_in = (Window.partitionBy(*parts, "__bucket").orderBy("__k")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -112,6 +118,29 @@ def global_row_number(df: DataFrame, order_by: Sequence[Column | str],
     return out.drop("__pid", "__mid", "__m0", "__off")
 
 
+def global_running_sum(df: DataFrame, order_by: Sequence[Column | str],
+                       sum_cols: Sequence[str], prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums over a total order of any sortable key
+    (strings included): range-partitioned sort, per-partition totals,
+    offsets from a one-row-per-partition table, then a running window
+    inside each sorted partition."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    sorted_ = (df.orderBy(*order_by)
+               .withColumn("__pid", F.spark_partition_id())
+               .withColumn("__mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    tot = sorted_.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(w), F.lit(0)).alias(f"__o_{c}")
+                                 for c in sum_cols])
+    out = sorted_.join(F.broadcast(offs), "__pid")    # one row per partition
+    w_in = (Window.partitionBy("__pid").orderBy("__mid")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    for c in sum_cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"__o_{c}") + F.sum(c).over(w_in))
+    return out.drop("__pid", "__mid", *[f"__o_{c}" for c in sum_cols])
+
+
 def row_number_within(df: DataFrame, part_col: str,
                       order_by: Sequence[Column | str],
                       name: str = "rn") -> DataFrame:
