@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import lead_score, predicted_label
-from ..operators import clean, curves, metrics, model, split, validate
+from ..operators import clean, metrics, model, split, validate
 from ..sources import readers
 from ..sources.leads import nan_to_null
 

@@ -1,5 +1,3 @@
-import math
-
 import pytest
 
 from propensity.operators import curves, metrics, score

@@ -1,8 +1,5 @@
-import math
-
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from propensity.operators import clean, profile
