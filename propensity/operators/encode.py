@@ -167,7 +167,7 @@ class StringModeImputer(Estimator, _StatsParams, DefaultParamsReadable, DefaultP
                                       outputCols=self.getOutputCols(), stats=json.dumps(st))
 
 
-def feature_pipeline(num_cols: Sequence[str], cat_cols: Sequence[str],
+def feature_encoder(num_cols: Sequence[str], cat_cols: Sequence[str],
                      passthrough: Sequence[str] = (), features: str = "features"):
     """Numbers -> mean impute -> population scale; strings -> mode
     impute -> sorted-level one-hot (unknown/NULL -> zero vector, all levels
@@ -177,7 +177,7 @@ def feature_pipeline(num_cols: Sequence[str], cat_cols: Sequence[str],
     from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
     num_cols, cat_cols = list(num_cols), list(cat_cols)
     if not num_cols or not cat_cols:
-        raise ValueError("feature_pipeline needs numeric and categorical columns")
+        raise ValueError("feature_encoder needs numeric and categorical columns")
     imp = [f"__imp_{c}" for c in num_cols]
     sc = [f"__sc_{c}" for c in num_cols]
     cimp = [f"__cimp_{c}" for c in cat_cols]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import curves, metrics
-from .encode import feature_pipeline
+from .encode import feature_encoder
 
 # Default boosted-tree settings (trees, depth, learning rate,
 # row subsample, seed) and the sweep grid of the reference.
@@ -60,12 +60,12 @@ def logistic(label: str = "converted", features: str = "features") -> LogisticRe
     return LogisticRegression(labelCol=label, featuresCol=features, maxIter=100)
 
 
-def train_pipeline(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+def fit_model(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
                    label: str = "converted", params: Mapping | None = None,
                    model: str = "gbt") -> PipelineModel:
     """E10 + T1 in one ``Pipeline`` fitted on the training rows."""
     est = gbt(label, params=params) if model == "gbt" else logistic(label)
-    stages = feature_pipeline(num_cols, cat_cols).getStages() + [est]
+    stages = feature_encoder(num_cols, cat_cols).getStages() + [est]
     # each stage fit and every boosting round reads the input again: keep the
     # projected training rows (memory, spilling to disk) for the fit only
     used = list(dict.fromkeys([*num_cols, *cat_cols, label]))
@@ -119,7 +119,7 @@ def cross_validate(train: DataFrame, num_cols, cat_cols, label: str = "converted
     spark = train.sparkSession
     rows = []
     for k in folds:
-        m = train_pipeline(train.where(F.col(fold_col) != k), num_cols, cat_cols, label, params)
+        m = fit_model(train.where(F.col(fold_col) != k), num_cols, cat_cols, label, params)
         held = predict(m, train.where(F.col(fold_col) == k), [label])
         f1 = macro_f1_of(held, label).first()["macro_f1"]
         rows.append((int(k), float(f1)))
@@ -144,7 +144,7 @@ def sweep(train: DataFrame, val: DataFrame, num_cols, cat_cols, label: str = "co
     spark = train.sparkSession
     rows = []
     for p in sample_grid(grid, draws, seed):
-        m = train_pipeline(train, num_cols, cat_cols, label, dict(p, seed=seed))
+        m = fit_model(train, num_cols, cat_cols, label, dict(p, seed=seed))
         f1 = macro_f1_of(predict(m, val, [label]), label).first()["macro_f1"]
         rows.append((int(p["n_estimators"]), int(p["max_depth"]), float(p["learning_rate"]),
                      float(p["reg_alpha"]), int(p["min_child_weight"]), float(p["gamma"]),

@@ -104,7 +104,11 @@ def main(argv=None) -> int:
         sc, sn, sh, srows = digest(sp)
         oc, on, oh, orows = digest(od)
         if sc == oc and sn == on and sh == oh:
-            print(f"OK   {n}: {sn} rows ({dt:.1f}s)")
+            sd = {c.lower(): str(t) for c, t in sp.dtypes.items()}
+            od_ = {c.lower(): str(t) for c, t in od.dtypes.items()}
+            diff = {c: (sd[c], od_.get(c)) for c in sd if sd[c] != od_.get(c)}
+            note = f"  dtype differences: {diff}" if diff else ""
+            print(f"OK   {n}: {sn} rows ({dt:.1f}s){note}")
             continue
         bad += 1
         print(f"FAIL {n}: cols {sc} vs {oc}; rows {sn} vs {on}")

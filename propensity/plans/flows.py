@@ -105,7 +105,7 @@ def train_flow(spark: SparkSession, source: DataFrame, out_dir: str,
 
     def train_step(st):
         tr = st["tagged"].where(F.col("split") == "train")
-        m = model.train_pipeline(tr, cfg.num_cols, cfg.cat_cols, cfg.label, cfg.params)
+        m = model.fit_model(tr, cfg.num_cols, cfg.cat_cols, cfg.label, cfg.params)
         m.write().overwrite().save(p("model"))
         st["model"] = PipelineModel.load(p("model"))
         return st

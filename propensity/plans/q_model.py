@@ -25,13 +25,13 @@ def _tagged(spark, sf):
     return split.split_and_folds(leads(spark, sf), "converted", "lead_id", k=5)
 
 
-@query("encode_pipeline")
-def q_encode_pipeline(spark, sf):
+@query("encode_features")
+def q_encode_features(spark, sf):
     """Fit on train, save, load, transform every split."""
     t = _tagged(spark, sf)
-    fitted = encode.feature_pipeline(NUM, CAT, passthrough=["fold"]).fit(
+    fitted = encode.feature_encoder(NUM, CAT, passthrough=["fold"]).fit(
         t.where(F.col("split") == "train"))
-    path = scratch_path(spark, "feature_pipeline")
+    path = scratch_path(spark, "feature_encoder")
     fitted.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     out = loaded.transform(t)
@@ -42,15 +42,15 @@ def q_encode_pipeline(spark, sf):
 def q_train_gbt(spark, sf):
     """Boosted trees fitted on train; test-split predictions."""
     t = _tagged(spark, sf)
-    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
     return rnd(model.predict(m, t.where(F.col("split") == "test"), ["lead_id", "converted"]))
 
 
 @query("train_logistic")
 def q_train_logistic(spark, sf):
-    """Logistic regression through the same pipeline."""
+    """Logistic regression with the same feature stages."""
     t = _tagged(spark, sf)
-    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, model="logistic")
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, model="logistic")
     return rnd(model.predict(m, t.where(F.col("split") == "test"), ["lead_id", "converted"]))
 
 
@@ -59,7 +59,7 @@ def q_feature_importance(spark, sf):
     """T5/M5: importances named by vector slot, sorted descending."""
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
-    m = model.train_pipeline(tr, NUM, CAT, params=TREES)
+    m = model.fit_model(tr, NUM, CAT, params=TREES)
     return rnd(model.feature_importance(m, tr))
 
 
@@ -87,7 +87,7 @@ def q_validate_model(spark, sf):
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
     cv = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 10}).first()["mean_macro_f1"]
-    m = model.train_pipeline(tr, NUM, CAT, params=TREES)
+    m = model.fit_model(tr, NUM, CAT, params=TREES)
     pred = model.predict(m, t.where(F.col("split") == "test"), ["converted"])
     return rnd(model.validation_report(pred, threshold=CUTOFF, cv_mean=cv))
 
@@ -97,7 +97,7 @@ def q_batch_score(spark, sf):
     """The saved model is loaded once and scores the whole
     table in one distributed pass (the reference loaded it per row)."""
     t = _tagged(spark, sf)
-    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
     path = scratch_path(spark, "lead_model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -112,7 +112,7 @@ def q_evaluate_model(spark, sf):
     """Model probabilities on validation -> 101-point sweep -> optimal
     cut-off -> F1/precision/recall/accuracy there."""
     t = _tagged(spark, sf)
-    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
     val = model.predict(m, t.where(F.col("split") == "val"), ["converted"])
     s = val.select(F.col("converted").alias("label"), F.col("probability").alias("score"))
     from ..operators import metrics
@@ -122,7 +122,7 @@ def q_evaluate_model(spark, sf):
 @query("train_flow")
 def q_train_flow(spark, sf):
     """D2u: the whole training flow as named steps; returns the test report."""
-    from .pipeline import TrainConfig, train_flow
+    from .flows import TrainConfig, train_flow
     cfg = TrainConfig(params=TREES, rules={
         "lead_id": {"type": "integer"},
         "converted": {"type": "integer", "minimum": 0, "maximum": 1},
@@ -141,9 +141,9 @@ def q_train_flow(spark, sf):
 def q_predict_flow(spark, sf):
     """A saved model scores the whole lead table into an idempotent
     sink; running the flow twice writes each lead once."""
-    from .pipeline import predict_flow
+    from .flows import predict_flow
     t = _tagged(spark, sf)
-    m = model.train_pipeline(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
     path = scratch_path(spark, "flow_model")
     m.write().overwrite().save(path)
     sink = scratch_path(spark, "flow_scores")

@@ -15,7 +15,7 @@ def tagged(spark):
 
 
 def test_gbt_quality_and_importance(spark, tagged):
-    m = model.train_pipeline(tagged.where("split = 'train'"), NUM, CAT, params={"n_estimators": 10})
+    m = model.fit_model(tagged.where("split = 'train'"), NUM, CAT, params={"n_estimators": 10})
     pred = model.predict(m, tagged.where("split = 'test'"), ["converted"])
     auc = curves.roc_auc(pred.select(F.col("converted").alias("label"),
                                      F.col("probability").alias("score"))).first().roc_auc

@@ -104,12 +104,12 @@ def test_scalar_recodes(spark):
     assert got[2][3] == "" and got[1][4] == "H" and got[3][4] is None and got[0][4] == "02.Medium"
 
 
-def test_feature_pipeline_save_load(spark, tmp_path):
+def test_feature_encoder_save_load(spark, tmp_path):
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
     df = spark.createDataFrame([(1.0, "a"), (3.0, "b"), (None, None), (5.0, "b")],
                                "x double, c string")
-    m = encode.feature_pipeline(["x"], ["c"]).fit(df)
+    m = encode.feature_encoder(["x"], ["c"]).fit(df)
     p = str(tmp_path / "fp")
     m.write().overwrite().save(p)
     a = [r[0] for r in m.transform(df).select(vector_to_array("features")).collect()]
@@ -118,4 +118,4 @@ def test_feature_pipeline_save_load(spark, tmp_path):
     # NULL number -> train mean 3 -> scaled 0; NULL string -> mode 'b'
     assert a[2] == [0.0, 0.0, 1.0]
     with pytest.raises(ValueError):
-        encode.feature_pipeline([], ["c"])
+        encode.feature_encoder([], ["c"])
