@@ -151,3 +151,13 @@ def q_predict_flow(spark, sf):
     flow.run({"data": leads(spark, sf)})
     st = flow.run({"data": leads(spark, sf)})
     return rnd(st["scores"])
+
+
+@query("importance_tail")
+def q_importance_tail(spark, sf):
+    """M5: positions 20..40 of the importance table sorted descending (the
+    weakest features, candidates for removal)."""
+    t = _tagged(spark, sf)
+    tr = t.where(F.col("split") == "train")
+    m = model.fit_model(tr, NUM, CAT, params=TREES)
+    return rnd(split.sorted_slice(model.feature_importance(m, tr), "importance", 20, 41))
