@@ -101,12 +101,14 @@ def impute_probabilistic(df: DataFrame, train: DataFrame, col: str, key: str,
 
 
 def impute_iterative(df: DataFrame, cols: Sequence[str], max_iter: int = 10,
-                     key: str | None = None) -> DataFrame:
+                     tol: float = 1e-3) -> DataFrame:
     """Round-robin regression imputation of numeric columns.
 
     Start from the column means; then, column by column (fewest missing
     first), fit ``LinearRegression`` of the column on the others using the
     originally observed rows and overwrite only the originally missing cells.
+    Stop after ``max_iter`` rounds, or earlier when the largest per-row sum of
+    absolute changes falls below ``tol`` times the largest observed |value|.
     Each round ends with a reliable checkpoint so lineage stays short.
     """
     from pyspark.ml.feature import VectorAssembler
@@ -115,14 +117,17 @@ def impute_iterative(df: DataFrame, cols: Sequence[str], max_iter: int = 10,
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     cols = list(cols)
-    miss = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    order = [c for c in sorted(cols, key=lambda c: (miss[c], cols.index(c))) if miss[c] > 0]
+    stats = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols],
+                   F.greatest(*[F.max(F.abs(F.col(c))) for c in cols]).alias("__maxabs")).first()
+    order = [c for c in sorted(cols, key=lambda c: (stats[c], cols.index(c))) if stats[c] > 0]
+    limit = tol * float(stats["__maxabs"] or 0.0)
     means = fit_means(df, cols)
     cur = df
     for c in cols:
         cur = cur.withColumn(f"__m_{c}", F.col(c).isNull())
     cur = fill(cur, means).checkpoint(eager=True)
     for _ in range(max_iter if order else 0):
+        cur = cur.withColumns({f"__prev_{c}": F.col(c) for c in order})
         for c in order:
             others = [o for o in cols if o != c]
             va = VectorAssembler(inputCols=others, outputCol="__x")
@@ -134,4 +139,9 @@ def impute_iterative(df: DataFrame, cols: Sequence[str], max_iter: int = 10,
                 c, F.when(F.col(f"__m_{c}"), F.col("__p")).otherwise(F.col(c))
             ).drop("__x", "__p")
         cur = cur.checkpoint(eager=True)
+        change = cur.agg(F.max(sum(F.abs(F.col(c) - F.col(f"__prev_{c}")) for c in order))
+                         ).first()[0] or 0.0
+        cur = cur.drop(*[f"__prev_{c}" for c in order])
+        if change < limit:
+            break
     return cur.drop(*[f"__m_{c}" for c in cols])

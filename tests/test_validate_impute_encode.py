@@ -119,3 +119,13 @@ def test_feature_encoder_save_load(spark, tmp_path):
     assert a[2] == [0.0, 0.0, 1.0]
     with pytest.raises(ValueError):
         encode.feature_encoder([], ["c"])
+
+
+def test_iterative_imputation_recovers_linear_relation(spark):
+    rows = [(float(i), None if i % 5 == 0 else 2.0 * i + 1.0, float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    out = impute.impute_iterative(df, ["x", "y", "z"], max_iter=5)
+    got = {r.x: r.y for r in out.collect()}
+    assert len(got) == 60
+    for i in range(0, 60, 5):
+        assert got[float(i)] == pytest.approx(2.0 * i + 1.0, abs=1e-3)
