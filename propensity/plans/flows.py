@@ -80,6 +80,7 @@ def train_flow(spark: SparkSession, source: DataFrame, out_dir: str,
         return st
 
     def clean_step(st):
+        readers.require_columns(st["data"], keep)           # S16 guard, no scan
         d = nan_to_null(clean.clean_infinities(st["data"]))
         d = clean.coerce_numeric(d, [c for c in cfg.num_cols
                                      if dict(d.dtypes).get(c) == "string"])

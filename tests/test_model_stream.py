@@ -63,3 +63,22 @@ def test_stream_restart_is_exactly_once(spark, tmp_path):
     score_stream(spark, src, d.schema, _score_batch, sink, ck)
     out = spark.read.parquet(sink)
     assert out.count() == d.count() == out.select("lead_id").distinct().count()
+
+
+def test_document_collection_scan_and_batches(spark, tmp_path):
+    """A JSON document collection with a store key; batches with
+    different fields are appended by name."""
+    from propensity.sources import readers
+    a = spark.createDataFrame([("x1", 1, "API", 2.0)], "_id string, lead_id long, lead_origin string, v double")
+    b = spark.createDataFrame([("x2", 2, 3.0)], "_id string, lead_id long, v double")
+    a.write.json(str(tmp_path / "a"))
+    b.write.json(str(tmp_path / "b"))
+    ra = readers.read_collection(spark, str(tmp_path / "a"), "json")
+    rb = readers.read_collection(spark, str(tmp_path / "b"), "json")
+    out = readers.union_batches([ra, rb])
+    assert "_id" not in out.columns
+    got = sorted((r.lead_id, r.lead_origin, r.v) for r in out.collect())
+    assert got == [(1, "API", 2.0), (2, None, 3.0)]
+    with pytest.raises(ValueError):
+        readers.require_columns(out, ["lead_id", "missing_col"])
+    assert readers.is_empty(out.where("lead_id > 5"))
