@@ -1,0 +1 @@
+"""Scalar column functions."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators."""

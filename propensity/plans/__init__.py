@@ -1,0 +1 @@
+"""Registered queries, oracles, flows and checks."""

@@ -1,0 +1 @@
+"""Scans, sinks and the leads feature view."""
