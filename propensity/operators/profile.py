@@ -130,8 +130,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                                             * F.col("frac")).alias("quantile"))
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, std (ddof 1), min, exact quartiles, max per column."""
+def approx_quantiles(df: DataFrame, cols: Sequence[str],
+                     probs: Sequence[float] = (0.25, 0.5, 0.75),
+                     accuracy: int = 10000) -> DataFrame:
+    """Opt-in approximate quantiles (one pass, bounded memory per task);
+    same (column_name, prob, quantile) shape as ``exact_quantiles``."""
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy)
+                   .alias(c) for c in cols])
+    structs = [F.struct(F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"),
+                        F.col(c)[i].alias("quantile"))
+               for c in cols for i, p in enumerate(probs)]
+    return _long(row, structs)
+
+
+def describe(df: DataFrame, cols: Sequence[str] | None = None,
+             exact: bool = True) -> DataFrame:
+    """Count, mean, std (ddof 1), min, quartiles, max per column.
+    Quartiles are exact (linear interpolation) unless ``exact=False``."""
     cols = list(cols or numeric_columns(df))
     aggs = []
     for c in cols:
@@ -143,7 +158,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("count"),
         F.col(f"a_{c}").alias("mean"), F.col(f"s_{c}").alias("std"),
         F.col(f"lo_{c}").alias("min"), F.col(f"hi_{c}").alias("max")) for c in cols])
-    q = exact_quantiles(df, cols).groupBy("column_name").agg(
+    quant = exact_quantiles(df, cols) if exact else approx_quantiles(df, cols)
+    q = quant.groupBy("column_name").agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q25"),
         F.max(F.when(F.col("prob") == 0.5, F.col("quantile"))).alias("q50"),
         F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q75"))

@@ -100,3 +100,25 @@ def test_empty_input(spark):
     assert (c.tn, c.fp, c.fn, c.tp) == (0, 0, 0, 0)
     assert curves.roc_points(df).count() == 1
     assert metrics.threshold_sweep(df, 10).count() == 11
+
+
+def test_auc_agrees_with_spark_evaluator(spark):
+    """Cross-check against Spark ML's exact evaluator (numBins=0)."""
+    import random
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.linalg import Vectors
+    rnd = random.Random(3)
+    data = [(round(rnd.random(), 2), int(rnd.random() < 0.4)) for _ in range(500)]
+    df = frame(spark, [s for s, _ in data], [l for _, l in data])
+    vec = spark.createDataFrame([(Vectors.dense([1 - s, s]), float(l)) for s, l in data],
+                                ["raw", "label"])
+    ev = BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label", numBins=0)
+    assert curves.roc_auc(df).first().roc_auc == pytest.approx(ev.evaluate(vec), abs=1e-9)
+
+
+def test_approx_describe_close_to_exact(spark):
+    from propensity.operators import profile
+    df = spark.range(0, 1001).selectExpr("cast(id as double) as x")
+    e = profile.describe(df, ["x"]).first()
+    a = profile.describe(df, ["x"], exact=False).first()
+    assert e.q50 == 500.0 and abs(a.q50 - 500.0) <= 1.0
