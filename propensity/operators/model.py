@@ -110,19 +110,33 @@ def macro_f1_of(pred: DataFrame, label: str) -> DataFrame:
                                      threshold=0.5, strict=True, score="probability")
 
 
+def _run_parallel(fn, items, parallelism: int):
+    """Fit several models as concurrent Spark jobs (as Spark's own
+    ``CrossValidator(parallelism=n)`` does); results keep the input order."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
+    with ThreadPool(min(parallelism, len(items))) as pool:
+        return pool.map(inheritable_thread_target(fn), items)
+
+
 def cross_validate(train: DataFrame, num_cols, cat_cols, label: str = "converted",
-                   fold_col: str = "fold", params: Mapping | None = None) -> DataFrame:
+                   fold_col: str = "fold", params: Mapping | None = None,
+                   parallelism: int = 1) -> DataFrame:
     """Fit on k-1 folds of the TRAINING split, score the held-out
     fold (the reference refitted on test folds, D10); per-fold macro F1 and
-    the mean over folds."""
+    the mean over folds.  Folds can be fitted concurrently."""
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
     spark = train.sparkSession
-    rows = []
-    for k in folds:
+
+    def one(k):
         m = fit_model(train.where(F.col(fold_col) != k), num_cols, cat_cols, label, params)
         held = predict(m, train.where(F.col(fold_col) == k), [label])
-        f1 = macro_f1_of(held, label).first()["macro_f1"]
-        rows.append((int(k), float(f1)))
+        return int(k), float(macro_f1_of(held, label).first()["macro_f1"])
+
+    rows = _run_parallel(one, folds, parallelism)
     out = spark.createDataFrame(rows, "fold int, macro_f1 double")
     return out.withColumn("mean_macro_f1", F.avg("macro_f1").over(Window.partitionBy()))
 
@@ -138,17 +152,19 @@ def sample_grid(grid: Mapping[str, Sequence], draws: int, seed: int = 42) -> lis
 
 def sweep(train: DataFrame, val: DataFrame, num_cols, cat_cols, label: str = "converted",
           grid: Mapping[str, Sequence] = SWEEP_GRID, draws: int = 1,
-          seed: int = 42) -> DataFrame:
+          seed: int = 42, parallelism: int = 1) -> DataFrame:
     """Each drawn point is fitted on train and scored on validation by
     macro F1; returns the result table, best first."""
     spark = train.sparkSession
-    rows = []
-    for p in sample_grid(grid, draws, seed):
+
+    def one(p):
         m = fit_model(train, num_cols, cat_cols, label, dict(p, seed=seed))
         f1 = macro_f1_of(predict(m, val, [label]), label).first()["macro_f1"]
-        rows.append((int(p["n_estimators"]), int(p["max_depth"]), float(p["learning_rate"]),
-                     float(p["reg_alpha"]), int(p["min_child_weight"]), float(p["gamma"]),
-                     float(p["reg_lambda"]), float(f1)))
+        return (int(p["n_estimators"]), int(p["max_depth"]), float(p["learning_rate"]),
+                float(p["reg_alpha"]), int(p["min_child_weight"]), float(p["gamma"]),
+                float(p["reg_lambda"]), float(f1))
+
+    rows = _run_parallel(one, sample_grid(grid, draws, seed), parallelism)
     schema = ("n_estimators int, max_depth int, learning_rate double, reg_alpha double, "
               "min_child_weight int, gamma double, reg_lambda double, macro_f1 double")
     return spark.createDataFrame(rows, schema).orderBy(F.col("macro_f1").desc())

@@ -68,7 +68,7 @@ def q_cross_validate(spark, sf):
     """5-fold CV on the training split."""
     t = _tagged(spark, sf)
     return rnd(model.cross_validate(t.where(F.col("split") == "train"), NUM, CAT,
-                                    params={"n_estimators": 10}))
+                                    params={"n_estimators": 10}, parallelism=5))
 
 
 @query("sweep")
@@ -86,7 +86,8 @@ def q_validate_model(spark, sf):
     confusion counts, ROC and PR areas."""
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
-    cv = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 10}).first()["mean_macro_f1"]
+    cv = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 10},
+                              parallelism=5).first()["mean_macro_f1"]
     m = model.fit_model(tr, NUM, CAT, params=TREES)
     pred = model.predict(m, t.where(F.col("split") == "test"), ["converted"])
     return rnd(model.validation_report(pred, threshold=CUTOFF, cv_mean=cv))

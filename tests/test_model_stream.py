@@ -82,3 +82,11 @@ def test_document_collection_scan_and_batches(spark, tmp_path):
     with pytest.raises(ValueError):
         readers.require_columns(out, ["lead_id", "missing_col"])
     assert readers.is_empty(out.where("lead_id > 5"))
+
+
+def test_parallel_cv_equals_sequential(spark):
+    t = split.split_and_folds(leads(spark, "/root/testdata/sf0.001"), "converted", "lead_id", k=3)
+    tr = t.where("split = 'train'")
+    a = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 3}, parallelism=1).collect()
+    b = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 3}, parallelism=3).collect()
+    assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)
