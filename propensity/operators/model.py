@@ -190,3 +190,9 @@ def validation_report(pred: DataFrame, label: str = "converted", threshold: floa
         long = long.unionByName(pred.sparkSession.range(1).select(
             F.lit("cv_mean_macro_f1").alias("metric"), F.lit(float(cv_mean)).alias("value")))
     return long
+
+
+def score_one(model: PipelineModel, spark, doc: Mapping, schema) -> DataFrame:
+    """One lead (a dict) as a one-row DataFrame through the same
+    loaded model; batches should call ``predict`` on the whole table."""
+    return predict(model, spark.createDataFrame([dict(doc)], schema), list(doc))

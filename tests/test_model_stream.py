@@ -90,3 +90,22 @@ def test_parallel_cv_equals_sequential(spark):
     a = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 3}, parallelism=1).collect()
     b = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 3}, parallelism=3).collect()
     assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)
+
+
+def test_score_one_lead_matches_batch(spark, tagged):
+    m = model.fit_model(tagged.where("split = 'train'"), NUM, CAT, params={"n_estimators": 3})
+    row = tagged.where("split = 'test'").select("lead_id", *NUM, *CAT).limit(1).collect()[0]
+    schema = tagged.select("lead_id", *NUM, *CAT).schema
+    one = model.score_one(m, spark, row.asDict(), schema).first()
+    batch = model.predict(m, tagged.where(F.col("lead_id") == row.lead_id), ["lead_id"]).first()
+    assert one.probability == pytest.approx(batch.probability)
+
+
+def test_scalar_helpers(spark):
+    from propensity.functions import scalar as X
+    r = spark.range(1).select(
+        X.grid(10, 9).alias("g"), X.abs_diff(F.lit(0.2), F.lit(0.5)).alias("d"),
+        X.iso_time(F.lit("2024-01-02 03:04:05").cast("timestamp")).alias("t")).first()
+    assert r.g == [i / 10 for i in range(10)]
+    assert r.d == pytest.approx(0.3)
+    assert r.t == "2024-01-02T03:04:05.000000"
