@@ -34,7 +34,7 @@ def rnd(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from . import q_metrics, q_profile, q_prep, q_io, q_model  # noqa: F401
+    from . import q_io, q_metrics, q_model, q_other, q_prep, q_profile  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
