@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import curves, metrics
@@ -71,9 +71,25 @@ def fit_model(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str]
     used = list(dict.fromkeys([*num_cols, *cat_cols, label]))
     data = train.select(*used).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=stages).fit(data)
+        fitted = Pipeline(stages=stages).fit(data)
     finally:
         data.unpersist()
+    return _without_training_summary(fitted)
+
+
+def _without_training_summary(fitted: PipelineModel) -> PipelineModel:
+    """A model that keeps its training summary also keeps a reference to the
+    session; once the session has used an ``Observation`` that reference is
+    no longer serializable and ``transform`` fails (logistic regression).
+    The saved-and-loaded model has no summary, so round-trip it through the
+    shared checkpoint folder."""
+    if not any(getattr(st, "hasSummary", False) for st in fitted.stages):
+        return fitted
+    from ..session import scratch_path
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "model_nosummary")
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -109,3 +109,12 @@ def test_scalar_helpers(spark):
     assert r.g == [i / 10 for i in range(10)]
     assert r.d == pytest.approx(0.3)
     assert r.t == "2024-01-02T03:04:05.000000"
+
+
+def test_logistic_after_observation(spark, tagged):
+    """An Observation earlier in the session must not break model transform."""
+    from pyspark.sql import Observation
+    o = Observation("obs_before_lr")
+    tagged.observe(o, F.count(F.lit(1))).limit(1).collect()
+    m = model.fit_model(tagged.where("split = 'train'"), NUM, CAT, model="logistic")
+    assert model.predict(m, tagged.where("split = 'test'"), ["lead_id"]).count() > 0
