@@ -81,7 +81,8 @@ def value_counts(df: DataFrame, cols: Sequence[str], dropna: bool = False) -> Da
     # per-column totals: one row per column, joined back (no window that
     # would put every distinct value of a column into one task)
     tot = vc.groupBy("column_name").agg(F.sum("n").alias("__tot"))
-    return vc.join(tot, "column_name").select(
+    # exactly one row per listed column: a structural bound for the broadcast
+    return vc.join(F.broadcast(tot), "column_name").select(
         "column_name", "value", "n", (F.col("n") / F.col("__tot")).alias("share"))
 
 
@@ -180,8 +181,7 @@ def box_summary(df: DataFrame, cols: Sequence[str] | None = None,
                  (F.col("q1") - whisker * iqr).alias("lower_fence"),
                  (F.col("q3") + whisker * iqr).alias("upper_fence"))
     lv = long_values(df, cols, as_type="double", keep_null=False)
-    # one row per column: AQE broadcasts it after measuring it
-    j = lv.join(q, "column_name")
+    j = lv.join(F.broadcast(q), "column_name")        # one row per listed column
     v = F.col("value")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     s = j.groupBy("column_name").agg(
@@ -317,7 +317,7 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None,
     lv = long_values(df, cols, as_type="double", keep_null=False)
     mm = lv.groupBy("column_name").agg(F.min("value").alias("lo"),
                                        F.max("value").alias("hi"))
-    j = lv.join(mm, "column_name")
+    j = lv.join(F.broadcast(mm), "column_name")       # one row per listed column
     span = F.col("hi") - F.col("lo")
     b = F.when(span == 0, F.lit(0)).otherwise(F.least(
         F.floor((F.col("value") - F.col("lo")) / span * bins).cast("int"), F.lit(bins - 1)))
