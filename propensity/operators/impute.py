@@ -93,6 +93,9 @@ def impute_probabilistic(df: DataFrame, train: DataFrame, col: str, key: str,
     u = unit_hash(F.col(key), F.lit(col), F.lit(seed))
     missing = df.where(F.col(col).isNull()).withColumn("__u", u).withColumn(
         "__cell", F.floor(F.col("__u") * grid).cast("int"))
+    from .ordering import MAX_BROADCAST_ROWS
+    if cells.count() <= MAX_BROADCAST_ROWS:          # levels + grid rows, counted
+        cells = F.broadcast(cells)
     drawn = missing.join(cells, missing["__cell"] == cells["cell"]).where(
         (F.col("__u") >= F.col("lo")) & (F.col("__u") < F.col("hi")))
     drawn = drawn.select(*[F.col("level").alias(c) if c == col else F.col(c)
