@@ -38,11 +38,14 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    part_cols: Sequence[str] = (), descending: bool = False,
                    n_buckets: int | None = None, with_totals: bool = False,
-                   prefix: str = "cum_", materialize: bool = True) -> DataFrame:
+                   prefix: str = "cum_", materialize: bool = True,
+                   parts_bound: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order.
 
     ``df`` must hold one row per (``part_cols``, ``order_col``) value — group
     first.  Adds ``{prefix}{c}`` (and ``total_{c}`` when asked).  Exact.
+    ``parts_bound``: a known upper bound on the number of parts (e.g. the
+    number of listed columns); without it the parts are counted.
 
     The input is read three times (bucket bounds, bucket totals, the running
     pass), so it is first checkpointed to the shared checkpoint folder: the
@@ -67,7 +70,8 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     else:
         # one row of bounds per part (e.g. per column): an equi-join, broadcast
         # only when the number of parts is counted and small
-        n_parts = work.select(*parts).distinct().count()
+        n_parts = parts_bound if parts_bound is not None else \
+            work.select(*parts).distinct().count()
         small = n_parts * nb <= MAX_BROADCAST_ROWS
         bounds = work.groupBy(*parts).agg(F.percentile_approx("__k", fracs, 10000).alias("__b"))
         work = work.join(F.broadcast(bounds) if small else bounds, parts, "left").withColumn(

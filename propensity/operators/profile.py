@@ -112,7 +112,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
     lv = long_values(df, cols, as_type="double", keep_null=False)
     cnt = lv.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
     rt = running_totals(cnt, "value", ["cnt"], part_cols=["column_name"],
-                        with_totals=True)
+                        with_totals=True, parts_bound=len(cols))
     p = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("prob")
     x = rt.select("column_name", "value", "cnt", "cum_cnt", "total_cnt", p)
     pos = F.col("prob") * (F.col("total_cnt") - 1).cast("double")
