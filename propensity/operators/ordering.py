@@ -63,16 +63,28 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if not fracs:
         work = work.withColumn("__bucket", F.lit(0))
     elif not parts:
-        # n-1 approximate bounds: a bounded list, used as a literal array
+        # n-1 approximate bounds (a bounded list); Bucketizer finds each row's
+        # bucket by binary search in the JVM.  Any monotone bucketing is exact
+        # here: equal keys always share a bucket.
+        from pyspark.ml.feature import Bucketizer
         b = work.agg(F.percentile_approx("__k", fracs, 10000).alias("b")).first()["b"] or []
-        arr = F.array(*[F.lit(float(x)) for x in b]) if b else F.array().cast("array<double>")
-        work = work.withColumn("__bucket", F.size(F.filter(arr, lambda x: x < F.col("__k"))))
+        inner = sorted({float(x) for x in b})
+        if inner:
+            splits = [float("-inf")] + inner + [float("inf")]
+            work = Bucketizer(splits=splits, inputCol="__k", outputCol="__bkt",
+                              handleInvalid="keep").transform(work)
+            work = work.withColumn("__bucket", F.col("__bkt").cast("int")).drop("__bkt")
+        else:                                  # empty input: one bucket
+            work = work.withColumn("__bucket", F.lit(0))
     else:
         # one row of bounds per part (e.g. per column): an equi-join, broadcast
-        # only when the number of parts is counted and small
+        # only when the number of parts is counted and small; buckets per part
+        # shrink so that parts x buckets stays near the partition count
         n_parts = parts_bound if parts_bound is not None else \
             work.select(*parts).distinct().count()
-        small = n_parts * nb <= MAX_BROADCAST_ROWS
+        per = max(2, nb // max(1, n_parts))
+        fracs = [i / per for i in range(1, per)]
+        small = n_parts * per <= MAX_BROADCAST_ROWS
         bounds = work.groupBy(*parts).agg(F.percentile_approx("__k", fracs, 10000).alias("__b"))
         work = work.join(F.broadcast(bounds) if small else bounds, parts, "left").withColumn(
             "__bucket", F.size(F.filter(F.coalesce(F.col("__b"), F.array().cast("array<double>")),
