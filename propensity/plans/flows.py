@@ -69,14 +69,17 @@ class TrainConfig:
 def train_flow(spark: SparkSession, source: DataFrame, out_dir: str,
                cfg: TrainConfig = TrainConfig()) -> Flow:
     """Build the training flow; ``flow.run({})`` executes it."""
-    p = lambda name: os.path.join(out_dir, name)
     keep = [cfg.key, cfg.label, *cfg.num_cols, *cfg.cat_cols]
 
+    def p(name: str) -> str:
+        return os.path.join(out_dir, name)
+
     def ingest(st):
         st["ingest_record"] = readers.ingest(source, p("ingested"), "source")
         st["rows"] = st["ingest_record"].first()["rows"]
-        st["stop"] = st["rows"] == 0                       # S14 guard
-        st["data"] = spark.read.parquet(p("ingested"))
+        st["stop"] = st["rows"] == 0                       # S14 guard: nothing written
+        if not st["stop"]:
+            st["data"] = spark.read.parquet(p("ingested"))
         return st
 
     def clean_step(st):

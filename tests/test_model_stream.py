@@ -118,3 +118,10 @@ def test_logistic_after_observation(spark, tagged):
     tagged.observe(o, F.count(F.lit(1))).limit(1).collect()
     m = model.fit_model(tagged.where("split = 'train'"), NUM, CAT, model="logistic")
     assert model.predict(m, tagged.where("split = 'test'"), ["lead_id"]).count() > 0
+
+
+def test_train_flow_stops_on_empty_input(spark, tmp_path):
+    from propensity.plans.flows import train_flow
+    empty = leads(spark, "/root/testdata/sf0.001").where("lead_id < 0")
+    st = train_flow(spark, empty, str(tmp_path / "flow")).run({})
+    assert st["stop"] and st["rows"] == 0 and "model" not in st
