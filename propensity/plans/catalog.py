@@ -25,11 +25,22 @@ def query(name: str, sql: str | None = None):
 
 
 def rnd(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (oracle hygiene: compare at 6 places)."""
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-        for f in df.schema.fields])
+    """Oracle hygiene for registered outputs: doubles rounded to 6 places and
+    timestamps rendered as ISO-8601 text (engines disagree on the in-memory
+    timestamp unit, not on the value)."""
+    out = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out.append(F.round(F.col(f.name), digits).alias(f.name))
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            out.append(F.date_format(F.col(f.name), ISO_FORMAT).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+ISO_SQL = "%Y-%m-%dT%H:%M:%S.%f"      # the same text in DuckDB
 
 
 def _load_all() -> None:

@@ -11,18 +11,20 @@ from ..session import scratch_path, table_path
 from ..sources import readers
 from ..sources.leads import fixed_score, leads, scored_leads
 from ..streaming.scoring import score_stream
-from .catalog import query, rnd
+from .catalog import ISO_SQL, query, rnd
 from .sql import SCORED, SPLIT, with_
 
-ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
+ORDER_COLS = ("o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+              f"strftime(o_orderdate, '{ISO_SQL}') AS o_orderdate")
 
 
 @query("scan_union_batches", f"""
-SELECT * FROM orders WHERE o_orderstatus = 'F'
+SELECT {ORDER_COLS}, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
 SELECT {ORDER_COLS}, NULL AS o_orderpriority FROM orders WHERE o_orderstatus = 'O'
 UNION ALL
-SELECT * FROM orders WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')""")
+SELECT {ORDER_COLS}, o_orderpriority FROM orders
+WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')""")
 def q_scan_union_batches(spark, sf):
     """A collection read in batches, one batch lacking a column."""
     src = readers.read_collection(spark, table_path(sf, "orders"), "parquet")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, profile
 from ..sources.leads import leads
 from ..sources.readers import read_table
-from .catalog import query, rnd
+from .catalog import ISO_SQL, query, rnd
 from .sql import LEADS, with_
 
 LEAD_COLS = [("lead_id", "bigint", "numerical"), ("lead_origin", "string", "categorical"),
@@ -272,11 +272,13 @@ _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discou
             "l_returnflag", "l_linestatus", "l_shipdate"]
 _LI_RN = ("SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY "
           + ", ".join(f"{c} NULLS FIRST" for c in _LI_REST) + ") AS rn FROM lineitem")
+_LI_OUT = ("SELECT * EXCLUDE (rn, l_shipdate), "
+           f"strftime(l_shipdate, '{ISO_SQL}') AS l_shipdate FROM ({_LI_RN})")
 
 
-@query("duplicates_report", f"SELECT * EXCLUDE (rn) FROM ({_LI_RN}) WHERE rn > 1")
+@query("duplicates_report", f"{_LI_OUT} WHERE rn > 1")
 def q_duplicates_report(spark, sf):
-    return clean.duplicate_rows(read_table(spark, sf, "lineitem"), _LI_KEY)
+    return rnd(clean.duplicate_rows(read_table(spark, sf, "lineitem"), _LI_KEY))
 
 
 @query("duplicate_count", """
@@ -286,9 +288,9 @@ def q_duplicate_count(spark, sf):
     return clean.duplicate_count(read_table(spark, sf, "lineitem"), _LI_KEY)
 
 
-@query("dedupe_first", f"SELECT * EXCLUDE (rn) FROM ({_LI_RN}) WHERE rn = 1")
+@query("dedupe_first", f"{_LI_OUT} WHERE rn = 1")
 def q_dedupe_first(spark, sf):
-    return clean.dedupe_first(read_table(spark, sf, "lineitem"), _LI_KEY)
+    return rnd(clean.dedupe_first(read_table(spark, sf, "lineitem"), _LI_KEY))
 
 
 # ---------------------------------------------------------------- F1 F2 F3
