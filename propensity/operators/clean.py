@@ -161,7 +161,12 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     rest = _rest(df, subset)
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__c"))
     first = df.groupBy(*subset).agg(F.min(F.struct(*rest)).alias("__r"))
-    j = copies.join(first, list(subset))
+    first = first.select(*[F.col(k).alias(f"__k_{k}") for k in subset], "__r")
+    cond = None
+    for k in subset:                       # NULL keys group together, as in groupBy
+        c = copies[k].eqNullSafe(first[f"__k_{k}"])
+        cond = c if cond is None else cond & c
+    j = copies.join(first, cond).drop(*[f"__k_{k}" for k in subset])
     is_first = F.struct(*[F.col(c) for c in rest]).eqNullSafe(F.col("__r")).cast("int")
     extra = (F.col("__c") - is_first).alias("__extra")
     dup = j.select(*df.columns, extra).where(F.col("__extra") > 0)

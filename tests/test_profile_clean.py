@@ -81,3 +81,9 @@ def test_missing_and_nan_normalisation(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
     m = profile.missing_report(nan_to_null(df)).first()
     assert m.n_missing == 2 and m.pct_missing == pytest.approx(200 / 3)
+
+
+def test_duplicates_with_null_key(spark):
+    df = spark.createDataFrame([(None, "b"), (None, "a"), (1, "x")], "k long, v string")
+    assert rows(clean.duplicate_rows(df, ["k"])) == [(None, "b")]
+    assert rows(clean.dedupe_first(df, ["k"])) == [(None, "a"), (1, "x")]
