@@ -96,8 +96,10 @@ def impute_probabilistic(df: DataFrame, train: DataFrame, col: str, key: str,
     from .ordering import MAX_BROADCAST_ROWS
     if cells.count() <= MAX_BROADCAST_ROWS:          # levels + grid rows, counted
         cells = F.broadcast(cells)
-    drawn = missing.join(cells, missing["__cell"] == cells["cell"]).where(
-        (F.col("__u") >= F.col("lo")) & (F.col("__u") < F.col("hi")))
+    # left join: a row keeps NULL when there is no level to draw from
+    cond = ((missing["__cell"] == cells["cell"]) & (missing["__u"] >= cells["lo"])
+            & (missing["__u"] < cells["hi"]))
+    drawn = missing.join(cells, cond, "left")
     drawn = drawn.select(*[F.col("level").alias(c) if c == col else F.col(c)
                            for c in df.columns])
     return df.where(F.col(col).isNotNull()).unionByName(drawn)

@@ -129,3 +129,9 @@ def test_iterative_imputation_recovers_linear_relation(spark):
     assert len(got) == 60
     for i in range(0, 60, 5):
         assert got[float(i)] == pytest.approx(2.0 * i + 1.0, abs=1e-3)
+
+
+def test_probabilistic_fill_keeps_rows_without_levels(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id long, c string")
+    out = impute.impute_probabilistic(df, df, "c", "id")
+    assert sorted((r.id, r.c) for r in out.collect()) == [(1, None), (2, None)]
