@@ -87,3 +87,12 @@ def test_duplicates_with_null_key(spark):
     df = spark.createDataFrame([(None, "b"), (None, "a"), (1, "x")], "k long, v string")
     assert rows(clean.duplicate_rows(df, ["k"])) == [(None, "b")]
     assert rows(clean.dedupe_first(df, ["k"])) == [(None, "a"), (1, "x")]
+
+
+def test_column_stats_exact_and_approx(spark):
+    df = spark.range(0, 5000).selectExpr("id % 1000 AS k", "cast(id % 7 AS double) AS v")
+    ex = {r.column_name: r for r in profile.column_stats(df).collect()}
+    ap = {r.column_name: r for r in profile.column_stats(df, approx=True).collect()}
+    assert ex["k"].n_distinct == 1000 and ex["v"].n_distinct == 7
+    assert abs(ap["k"].n_distinct - 1000) <= 50 and ap["v"].n_distinct == 7
+    assert ex["v"].var_samp == pytest.approx(ap["v"].var_samp)
