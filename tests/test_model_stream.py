@@ -125,3 +125,24 @@ def test_train_flow_stops_on_empty_input(spark, tmp_path):
     empty = leads(spark, "/root/testdata/sf0.001").where("lead_id < 0")
     st = train_flow(spark, empty, str(tmp_path / "flow")).run({})
     assert st["stop"] and st["rows"] == 0 and "model" not in st
+
+
+def test_train_flow_writes_status_and_metrics(spark, tmp_path):
+    """The flow writes the validation status, evaluation scores,
+    the split table and the model; every step is timed."""
+    from propensity.plans.flows import TrainConfig, train_flow
+    rules = {"lead_id": {"type": "integer"},
+             "converted": {"type": "integer", "minimum": 0, "maximum": 1},
+             **{c: {"type": "float"} for c in NUM}, **{c: {"type": "string"} for c in CAT}}
+    out = str(tmp_path / "flow")
+    f = train_flow(spark, leads(spark, "/root/testdata/sf0.001"), out,
+                   TrainConfig(params={"n_estimators": 3}, rules=rules))
+    st = f.run({})
+    assert not st.get("stop")
+    status = spark.read.json(out + "/validation_status").collect()
+    assert {r.status for r in status} == {"Valid"}
+    ev = spark.read.json(out + "/evaluation").first()
+    assert 0.0 <= ev.optimal_threshold <= 1.0
+    assert {r.metric for r in st["report"].collect()} >= {"accuracy", "roc_auc", "pr_auc"}
+    assert set(f.timings) == {"ingest", "clean", "validate", "split", "train", "evaluate",
+                              "validate_model"}
