@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from propensity.llm.common import documents
+from propensity.llm.exact_dedup import exact_dedup
 from propensity.llm.jaccard_join import jaccard_join
+from propensity.llm.mix_sources import mix_sources
 from propensity.llm.substring_dedup import substring_dedup
 
 
@@ -23,9 +25,19 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -56,4 +68,25 @@ link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM tok a JOIN tok b ON a.g = b.g
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id""",
+    "op6_mix_sources": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM d GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][sid % 3 + 1] AS DOUBLE) AS w, source_size * CAST(2.0 AS DOUBLE) AS cap FROM s),
+l AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS total, row_number() OVER (ORDER BY cap / w, sid) AS nth,
+             coalesce(sum(cap) OVER (ORDER BY cap / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             sum(w) OVER (ORDER BY cap / w, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w),
+f AS (SELECT *, (total - before) / rest AS level FROM l),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, nth) FROM f WHERE level < cap / w) * w, cap)) AS target FROM f),
+r AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS reps
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, target - reps * source_size AS left_over, CAST(sum(size) OVER (PARTITION BY source ORDER BY key) AS BIGINT) AS upto,
+             CAST(sum(size) OVER (PARTITION BY source, key) AS BIGINT) AS tied FROM r),
+e AS (SELECT *, CASE WHEN upto <= left_over THEN 1
+                     WHEN upto - tied <= left_over AND (left_over - (upto - tied)) * 2 >= tied THEN 1 ELSE 0 END AS extra FROM c)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * (reps + extra) AS BIGINT) AS taken FROM e""",
+    "op7_exact_dedup": r"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
 }
