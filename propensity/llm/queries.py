@@ -13,7 +13,10 @@ from propensity.llm.common import documents
 from propensity.llm.exact_dedup import exact_dedup
 from propensity.llm.jaccard_join import jaccard_join
 from propensity.llm.mix_sources import mix_sources
+from propensity.llm.packing import pack
 from propensity.llm.substring_dedup import substring_dedup
+from propensity.llm.token_files import read_token_files, write_token_files
+from propensity.llm.tokens import tokenizer_path
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +24,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end=2)
+    return read_token_files(files, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
@@ -33,11 +41,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_token_files": op3_token_files,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
