@@ -8,15 +8,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from propensity.llm.common import documents
+from propensity.llm.common import documents, held_out
 from propensity.llm.exact_dedup import exact_dedup
+from propensity.llm.fingerprints import fingerprint_documents
 from propensity.llm.jaccard_join import jaccard_join
+from propensity.llm.language import fit_language, identify_language
 from propensity.llm.mix_sources import mix_sources
 from propensity.llm.packing import pack
+from propensity.llm.quality import fit_quality, score_quality
 from propensity.llm.substring_dedup import substring_dedup
 from propensity.llm.token_files import read_token_files, write_token_files
 from propensity.llm.tokens import tokenizer_path
+from propensity.session import table_path
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +34,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit_quality(docs, spark.read.parquet(table_path(sf_dir, "labels")))
+    return score_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
@@ -45,13 +57,26 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end=2)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = identify_language(docs, fit_language(docs), with_spans=False)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
