@@ -1,8 +1,75 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: quality, exact duplicates, near duplicates, source mix, packing.
+
+Each stage takes the documents its predecessor kept (columns doc_id, text, lang, source, n_chars and whatever
+else the table has) and returns those it keeps, the last one packed pieces.  doc_id identifies a
+document: rows are matched by it, null ids by their being null."""
+
 from __future__ import annotations
-STAGES: list = []
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from propensity.llm.common import documents, saved
+from propensity.llm.exact_dedup import exact_dedup
+from propensity.llm.jaccard_join import jaccard_join
+from propensity.llm.mix_sources import mix_sources
+from propensity.llm.packing import pack
+from propensity.llm.quality import fit_quality, score_quality
+from propensity.llm.tokens import tokenizer_path
+from propensity.session import table_path
+
+#: Share below which the classifier rejects a document.
+LEAST_QUALITY = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least LEAST_QUALITY; the classifier is trained on the labelled documents among them."""
+    model = fit_quality(docs, spark.read.parquet(table_path(sf_dir, "labels")))
+    return score_quality(docs, model, "__quality").where(F.col("__quality") >= LEAST_QUALITY).select(docs.columns)
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is in ids(doc_id), one row per doc_id that is not null."""
+    i = ids.select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(i, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.where("doc_id IS NULL").unionByName(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the one with the largest doc_id."""
+    return _only(docs, exact_dedup(docs).where("kept"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a five-word shingle similarity of 0.8 or more: the one with the smallest doc_id."""
+    found = jaccard_join(docs, width=5, percent=80)
+    return _only(docs, found.where("doc_id = component_id OR doc_id IS NULL"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it (not at all, once or twice)."""
+    mixed = mix_sources(docs.select("doc_id", "text", "source"), with_source=True).select("doc_id", "source", "copies").distinct()
+    m = mixed.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies")).where("__copies > 0")
+    joined = docs.join(m, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens in sequences."""
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), end=2)
+
+
+STAGES = [("quality", quality), ("exact_duplicates", exact_duplicates), ("near_duplicates", near_duplicates), ("source_mix", source_mix), ("packing", packing)]
+
+#: The classifier and the tokenizer have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -83,7 +83,7 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return last
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, with_source: bool = False) -> DataFrame:
     """Per row of docs(doc_id, text, source): size (words), source_size, target, copies (times taken) and taken (words).
 
     The document at the threshold is taken if that brings the source nearer to its target.  Null text has size
@@ -98,4 +98,4 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     once_more = (F.col("key") < F.col("low")) | (F.col("also") & (F.col("key") < F.col("high")))
     copies = F.col("repeats") + once_more.cast("long")
     return (rows.join(cut, "sid").withColumn("copies", copies)
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"))
+            .select("doc_id", *["source"] * with_source, "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"))

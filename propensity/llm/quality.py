@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from propensity.llm import textnp as T
 from propensity.llm.common import held_out, slices
 
-BUCKETS, DIM, SAMPLE, EPOCHS, BATCH, RATE = 1 << 17, 16, 6000, 6, 32, 0.5
+BUCKETS, DIM, SAMPLE, EPOCHS, STEPS, BATCH, RATE = 1 << 17, 16, 6000, 6, 1000, 32, 0.5
 GRAMS = (3, 4)
 #: Bucket of a word that repeats the one before.
 AGAIN = 1
@@ -91,7 +91,9 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     usable = [i for i, (idx, _) in enumerate(bags) if len(idx)]
     if len(set(labels[usable].tolist())) < 2:
         return QualityModel(vectors, output, bias, prior)
-    steps, done = epochs * -(-len(usable) // BATCH), 0
+    each = -(-len(usable) // BATCH)
+    epochs = max(epochs, -(-STEPS // each))          # a small sample is gone through more often
+    steps, done = epochs * each, 0
     for _ in range(epochs):
         order = rng.permutation(usable)
         for b in range(0, len(order), BATCH):

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensity.llm.chat_format import as_transcripts, fit_chat, format_chat
 from propensity.llm.common import documents, held_out
 from propensity.llm.exact_dedup import exact_dedup
 from propensity.llm.fingerprints import fingerprint_documents
@@ -24,6 +25,13 @@ from propensity.llm.tokens import tokenizer_path
 from propensity.session import table_path
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts made from conversations; the model learns from those whose conv_id is not held out."""
+    lines = as_transcripts(spark.read.parquet(table_path(sf_dir, "conversations")))
+    model = fit_chat(lines.where(~held_out(F.col("conv_id"))))
+    return format_chat(lines, model).withColumn("held_out", held_out(F.col("conv_id")))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = substring_dedup(documents(spark, sf_dir), window=13, with_text=False)
     return got.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -68,6 +76,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_quality_classifier": op4_quality_classifier,
