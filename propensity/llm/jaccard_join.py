@@ -13,8 +13,9 @@ one class).  Sets of at least `percent` % Jaccard similarity are found with sign
   lie in the other prefix too.)
 * Sizes of matching sets lie in equal or neighbouring size bands, which name the signatures.
 
-Sharing a signature only makes a pair a candidate; each candidate pair is then verified on the
-whole texts.  Signature groups are not expanded into pairs: in each round a group's members are
+Sharing a signature only makes a pair a candidate.  Signatures with the same members count once.  A pair then has
+to pass a bound that never rejects a match: sets hashed to parity bits differ in at most as many bits as
+the sets differ in tokens.  What passes is verified on the whole texts.  Signature groups are not expanded into pairs: in each round a group's members are
 compared with a few centres, links are contracted into components, members already connected
 are left alone, used centres leave the group, and the number of centres grows fourfold from
 round to round until every pair is linked through a component or tested.  So components are exact.
@@ -42,7 +43,10 @@ CLASSES = ((0, 1, 0), (64, 2, 16), (1024, 3, 8))
 #: Below this size all tokens count as rare: a part of k - 1 tokens would be a large share of the set.
 SMALL = 64
 #: Centres per signature group in the first round and their growth.
-CENTRES, GROWTH = 1, 4
+CENTRES, GROWTH = 1, 16
+#: 64-bit words of parity bits per set.
+PARITY = 8
+_BITS = [f"p{i}" for i in range(PARITY)]
 
 
 def _tokens(batch, width: int):
@@ -75,15 +79,29 @@ def _fingerprints(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
+def _parities(h: np.ndarray, doc: np.ndarray, n: int) -> list[np.ndarray]:
+    """PARITY words per set: each bit tells whether an odd number of its tokens hash to it."""
+    bits = 64 * PARITY
+    odd = np.bincount(doc * bits + (T.mix(h) % _U64(bits)).astype(np.int64), minlength=n * bits) & 1
+    words = np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1).view(np.int64)
+    return [words[:, i] for i in range(PARITY)]
+
+
+def _may_match(percent: int):
+    """Condition on sides x and y: they differ in few enough parity bits."""
+    apart = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in _BITS), F.lit(0))
+    return apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
+
+
 def _classes(width: int):
     def run(batches):
         for batch in batches:
             for i, j in slices(batch, "text"):
                 part = batch.slice(i, j - i)
-                h, _, first = _tokens(part, width)
+                h, doc, first = _tokens(part, width)
                 hi, lo = _fingerprints(h, first)
-                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(hi), pa.array(lo)],
-                                      names=["doc_id", "n_shingles", "hi", "lo"])
+                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(hi), pa.array(lo), *map(pa.array, _parities(h, doc, len(part)))],
+                                      names=["doc_id", "n_shingles", "hi", "lo", *_BITS])
     return run
 
 
@@ -264,9 +282,10 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
     doc_id are rows of their own.  Columns other than doc_id and text are ignored."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = group_count(docs)
-    rows = saved(docs.mapInArrow(_classes(width), "doc_id long, n_shingles long, hi long, lo long"), "classes")
+    rows = saved(docs.mapInArrow(_classes(width), "doc_id long, n_shingles long, hi long, lo long, " + ", ".join(f"{b} long" for b in _BITS)), "classes")
     filled = rows.where("n_shingles > 0")
-    classes_of = saved(filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles")), "sets")
+    classes_of = saved(filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
+                                                       *(F.first(b).alias(b) for b in _BITS)), "sets")
     # counts, prefixes, signatures
     sizes = classes_of.groupBy(F.col("hi").alias("node")).agg(F.max("n_shingles").alias("n_shingles"))
     sizes = sizes.withColumn("part", _part(F.col("node"), n))
@@ -274,7 +293,10 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
               .groupBy("bucket").applyInArrow(_answer(n), "part long, bucket long, nodes binary, counts binary, tokens binary, df binary"))
     found = tokens.groupBy("part").cogroup(sizes.groupBy("part")).applyInArrow(_prefixes(percent, classes, small), "sig long, node long")
     sigs = saved(found, "signatures")
-    sigs = _several(sigs)
+    # parity bits by node; two classes whose 64-bit node is equal can't be told apart here, so they pass any bound
+    bits = classes_of.groupBy(F.col("hi").alias("node")).agg(F.max("n_shingles").alias("n"), F.count("*").alias("k"), *(F.first(b).alias(b) for b in _BITS))
+    bits = bits.select("node", F.when(F.col("k") > 1, F.lit(1 << 40)).otherwise(F.col("n")).alias("n"), *_BITS)
+    sigs = saved(_several(sigs).join(bits, "node"), "signatures")
     # texts of the classes that share a signature with another
     nodes = sigs.select("node").distinct()
     wanted = classes_of.join(nodes, classes_of.hi == nodes.node, "left_semi").where("least is not null").select("hi", "lo", "least")
@@ -298,9 +320,10 @@ def _part(node, parts: int):
 
 
 def _several(sigs: DataFrame) -> DataFrame:
-    """Rows of signatures that more than one node holds."""
-    hot = sigs.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("sig")
-    return saved(sigs.join(hot, "sig", "left_semi"), "signatures")
+    """Rows of signatures that more than one node holds, one signature for each distinct group of members."""
+    members = sigs.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    chosen = members.where("n > 1").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
+    return sigs.join(chosen, "sig", "left_semi")
 
 
 def _own(width: int):
@@ -328,16 +351,17 @@ def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[
     left = sigs
     while True:
         # a group whose members are one component has nothing left to find
-        named = left.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+        named = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_ = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("sig")
         named = saved(named.join(open_, "sig", "left_semi"), "signatures")
         if named.isEmpty():
             return roots, links
         slot = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(centres))
-        centre = named.groupBy("sig", slot.alias("slot")).agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(salt + 1))).alias("c"))
-        centre = centre.select("sig", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root"))
-        pairs = (named.join(centre, "sig").where("root <> centre_root")
-                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+        centre = named.groupBy("sig", slot.alias("slot")).agg(F.min_by(F.struct("node", "root", "n", *_BITS), F.xxhash64("node", F.lit(salt + 1))).alias("c"))
+        centre = saved(centre.select("sig", "c.*"), "centres")
+        x, y = named.alias("x"), centre.alias("y")
+        pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & _may_match(percent))
+                 .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         new = saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
                     .mapInArrow(_verify(width, percent), "a long, b long"), "links")
@@ -349,5 +373,5 @@ def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[
             links = saved(links.unionByName(new.distinct()), "links")
             old = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
             roots = saved(old.unionByName(merged.join(old, "node", "left_anti")), "roots")
-        left = saved(named.select("sig", "node").join(centre.select("sig", F.col("centre").alias("node")), ["sig", "node"], "left_anti"), "signatures")
+        left = saved(named.drop("root").join(centre.select("sig", "node"), ["sig", "node"], "left_anti"), "signatures")
         centres, salt = centres * GROWTH, salt + 2
