@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -56,7 +57,7 @@ class _Ids(dict):
         word = self.fold(word)
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.table)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(self.mark + word)], self.kind).tobytes()
+        return array("H" if self.kind == "<u2" else "I", [t.id for t in self.tokenizer.model.tokenize(self.mark + word)]).tobytes()
 
     def fill(self, wanted: set[str]) -> None:
         new = wanted.difference(self)
@@ -90,7 +91,7 @@ class _Pieces(dict):
         runs: dict[str, tuple] = {}
         head, rest = set(), set()
         for p in new:
-            got = _RUNS.fullmatch(p)
+            got = None if p.isalpha() else _RUNS.fullmatch(p)
             if got is None:
                 head.add(p)
             else:
