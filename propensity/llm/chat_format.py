@@ -106,7 +106,20 @@ def fit_chat(transcripts: DataFrame) -> ChatModel:
     with np.errstate(divide="ignore"):
         first = np.log((start + 0.5) * (np.arange(STATES) % 2 == 0) / (start + 0.5).sum())
         moves = np.log((step + 0.5) * can / ((step + 0.5) * can).sum(1, keepdims=True))
-    return ChatModel(first, moves, np.log((seen + 0.05) / (seen + 0.05).sum(0)))
+    return ChatModel(first, moves, _emissions(seen.reshape(CLASSES, len(LENGTHS) + 1, 2, STATES)))
+
+
+def _emissions(seen: np.ndarray) -> np.ndarray:
+    """Log shares per observation and state: marker, length class and question mark taken as independent given the
+    state.  Before any count a beginning line has its own role's marker or none, a line inside a turn none."""
+    prior = np.full((CLASSES, STATES), 0.02)
+    prior[0] = np.where(np.arange(STATES) % 2 == 0, 0.4, 0.92)
+    for r in range(len(ROLES)):
+        prior[r + 1, 2 * r] = 0.54
+    marker = seen.sum((1, 2)) + 2 * prior
+    length, question = seen.sum((0, 2)) + 0.5, seen.sum((0, 1)) + 0.5
+    logs = [np.log(x / x.sum(0)) for x in (marker, length, question)]
+    return (logs[0][:, None, None] + logs[1][None, :, None] + logs[2][None, None]).reshape(OBSERVED, STATES)
 
 
 def _product(parts: list[np.ndarray]) -> np.ndarray:

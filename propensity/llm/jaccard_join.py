@@ -278,7 +278,7 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
     to connect the component; copies not counted).
 
     Words are lower-cased in A-Z only.  Null or empty texts have no shingles and no links; rows with
-    a null doc_id are returned with null component_id unless another document is in reach; rows with equal
+    a null doc_id share the component of documents with an equal set, else link with nothing (null component_id); rows with equal
     doc_id are rows of their own.  Columns other than doc_id and text are ignored."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = group_count(docs)
