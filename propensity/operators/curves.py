@@ -21,8 +21,9 @@ from .ordering import running_totals
 def curve_table(df: DataFrame, label: str = "label", score: str = "score",
                 n_buckets: int | None = None) -> DataFrame:
     """One row per distinct score: pos/neg in the group, cumulative tp/fp
-    for the cut-off ``score >= threshold``, and class totals P/N."""
-    g = df.groupBy(F.col(score).alias("threshold")).agg(
+    for the cut-off ``score >= threshold``, and class totals P/N.  Rows without
+    a score can't be ranked: they are left out of the cumulative counts and of P/N alike."""
+    g = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"))
     c = running_totals(g, "threshold", ["pos", "neg"], descending=True,

@@ -42,10 +42,9 @@ def gbt(label: str = "converted", features: str = "features",
         params: Mapping | None = None) -> GBTClassifier:
     """Boosted trees.  gamma -> minInfoGain, min_child_weight ->
     minInstancesPerNode (closest analogues); alpha/lambda have none."""
-    p = dict(GBT_DEFAULTS)
-    p.update(params or {})
-    if not p:
+    if params is not None and not params:
         raise ValueError("empty model parameters")
+    p = {**GBT_DEFAULTS, **(params or {})}
     return GBTClassifier(
         labelCol=label, featuresCol=features, maxIter=int(p["n_estimators"]),
         maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),

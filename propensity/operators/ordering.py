@@ -43,7 +43,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order.
 
     ``df`` must hold one row per (``part_cols``, ``order_col``) value — group
-    first.  Adds ``{prefix}{c}`` (and ``total_{c}`` when asked).  Exact.
+    first (NULL is a value and comes first).  Adds ``{prefix}{c}`` (and ``total_{c}`` when asked).  Exact.
     ``parts_bound``: a known upper bound on the number of parts (e.g. the
     number of listed columns); without it the parts are counted.
 
@@ -90,6 +90,8 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
             "__bucket", F.size(F.filter(F.coalesce(F.col("__b"), F.array().cast("array<double>")),
                                         lambda x: x < F.col("__k")))
         ).drop("__b")
+    # NULL order values come first, in a bucket of their own
+    work = work.withColumn("__bucket", F.when(F.col("__k").isNull(), F.lit(-1)).otherwise(F.col("__bucket")))
     tot = work.groupBy(*parts, "__bucket").agg(
         *[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
     w_before = (Window.partitionBy(*parts).orderBy("__bucket")
@@ -104,7 +106,10 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if not parts or small:
         off = F.broadcast(off)
     out = work.join(off, parts + ["__bucket"], "inner")
-    w_in = (Window.partitionBy(*parts, "__bucket").orderBy("__k")
+    # buckets come from the value as a double; inside one the value itself orders, so
+    # long and decimal keys beyond 2^53 stay apart
+    exact = F.col(order_col).desc_nulls_first() if descending else F.col(order_col).asc_nulls_first()
+    w_in = (Window.partitionBy(*parts, "__bucket").orderBy(exact)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"__o_{c}") + F.sum(c).over(w_in))

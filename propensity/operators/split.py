@@ -3,16 +3,17 @@
 Order inside each class is ``md5(key || '|' || seed)`` then the key, so
 the result does not depend on partitioning, task order or retries, and is
 reproducible in any engine that has md5.  Ranks come from
-``row_number_within`` (a global sort plus per-class offsets), so a class
-holding half the table is never a single task.
+counts per class and hash prefix plus places inside a prefix, so a class
+holding half the table is never a single task and no global sort is needed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import row_number_within
 
 
 def hash_order(key: str, seed: int = 42) -> Column:
@@ -28,8 +29,23 @@ def unit_hash(*parts: Column | str) -> Column:
 
 
 def stratified_rank(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
-    """Adds ``rn`` (1-based rank inside the class) and ``__class_n``."""
-    return row_number_within(df, label, [hash_order(key, seed), F.col(key)], "rn")
+    """Adds ``rn`` (1-based rank inside the class) and ``__class_n``.
+
+    The order is a hash, so it is uniform: its first four hex digits cut every
+    class, however large, into up to 65,536 even pieces.  Their counts give each
+    piece's offset, and a window over (class, piece) the place inside; no global
+    sort, and no copy of the rows."""
+    rows = df.withColumn("__h", hash_order(key, seed))
+    rows = rows.withColumn("__p", F.substring("__h", 1, 4))
+    pieces = rows.groupBy(F.col(label).alias("__l"), F.col("__p").alias("__q")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__l").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("__l", "__q", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+                           F.sum("__n").over(Window.partitionBy("__l")).alias("__class_n"))
+    inner = F.row_number().over(Window.partitionBy(label, "__p").orderBy("__h", key))
+    out = rows.withColumn("__i", inner).join(
+        pieces, F.col(label).eqNullSafe(F.col("__l")) & (F.col("__p") == F.col("__q")))
+    return out.withColumn("rn", (F.col("__off") + F.col("__i")).cast("long")).drop(
+        "__h", "__p", "__l", "__q", "__off", "__i")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, train_pct: int = 70,
@@ -71,7 +87,7 @@ def split_and_folds(df: DataFrame, label: str, key: str, k: int = 5,
 
 
 def sorted_slice(df: DataFrame, order_col: str, start: int, stop: int,
-                 descending: bool = True) -> DataFrame:
-    """M5: positions [start, stop) of a sorted table (offset + limit)."""
+                 descending: bool = True, tie_cols: Sequence[str] = ()) -> DataFrame:
+    """M5: positions [start, stop) of a sorted table (offset + limit); ties by ``tie_cols``."""
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    return df.orderBy(o).offset(start).limit(stop - start)
+    return df.orderBy(o, *tie_cols).offset(start).limit(stop - start)

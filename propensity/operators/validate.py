@@ -114,6 +114,8 @@ def invalid_values(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
                          .groupBy(x.cast("string").alias("value")).agg(
                              F.count(F.lit(1)).alias("n"))
                          .select(F.lit(c).alias("column_name"), "value", "n"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -161,4 +161,4 @@ def q_importance_tail(spark, sf):
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
     m = model.fit_model(tr, NUM, CAT, params=TREES)
-    return rnd(split.sorted_slice(model.feature_importance(m, tr), "importance", 20, 41))
+    return rnd(split.sorted_slice(model.feature_importance(m, tr), "importance", 20, 41, tie_cols=["feature"]))

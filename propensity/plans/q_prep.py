@@ -181,8 +181,8 @@ def q_impute_probabilistic(spark, sf):
 @query("impute_iterative")
 def q_impute_iterative(spark, sf):
     """E8 (no SQL oracle: iterative model fits)."""
-    b = leads(spark, sf).select("lead_id", *NUMF, "converted")
-    return rnd(impute.impute_iterative(b, NUMF + ["converted"], max_iter=3))
+    b = leads(spark, sf).select("lead_id", *NUMF)
+    return rnd(impute.impute_iterative(b, NUMF))
 
 
 # ---------------------------------------------------------------- E3 E4

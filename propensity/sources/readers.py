@@ -10,7 +10,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,7 +86,8 @@ def append_rows(df: DataFrame, path: str, key: str | None = None,
 
     With ``key`` the append is idempotent: rows whose key is already in the
     sink are removed by a ``left_anti`` join before writing (the reference
-    re-inserted duplicates on every call).  The written count is observed
+    re-inserted duplicates on every call).  Of rows that share a key (NULL is a
+    key) the one with the smallest content hash is written.  The written count is observed
     during the write itself, so the data is not read twice.
     """
     from pyspark.sql import Observation
@@ -95,8 +96,10 @@ def append_rows(df: DataFrame, path: str, key: str | None = None,
     if key is not None:
         # an empty append creates the sink (with its schema) on first use
         spark.createDataFrame([], df.schema).write.mode("append").format(fmt).save(path)
-        existing = spark.read.format(fmt).load(path).select(key)
-        new = df.join(existing, on=key, how="left_anti")
+        existing = spark.read.format(fmt).load(path).select(F.col(key).alias("__key"))
+        first = Window.partitionBy(key).orderBy(F.xxhash64(*df.columns))
+        new = (df.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
+               .join(existing, F.col(key).eqNullSafe(F.col("__key")), "left_anti"))
     obs = Observation(f"append_rows_{uuid.uuid4().hex[:8]}")
     new.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").format(fmt).save(path)
     return int(obs.get.get("n", 0))

@@ -38,8 +38,7 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType | st
     def batch(df: DataFrame, batch_id: int) -> None:
         start = _dt.datetime.now(_dt.timezone.utc)
         obs = Observation(f"score_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
-        scored = score(df).dropDuplicates([key]).observe(
-            obs, F.count(F.lit(1)).alias("rows_in"))
+        scored = score(df.observe(obs, F.count(F.lit(1)).alias("rows_in")))
         n_written = append_rows(scored, sink_dir, key=key)
         rows_in = int(obs.get.get("rows_in", 0))
         if record_dir is not None:
