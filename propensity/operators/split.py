@@ -44,6 +44,8 @@ def stratified_rank(df: DataFrame, label: str, key: str, seed: int = 42) -> Data
     inner = F.row_number().over(Window.partitionBy(label, "__p").orderBy("__h", key))
     out = rows.withColumn("__i", inner).join(
         pieces, F.col(label).eqNullSafe(F.col("__l")) & (F.col("__p") == F.col("__q")))
+    # a fixed order inside each task, so that row-sampling fits on the result repeat
+    out = out.sortWithinPartitions("__h", key)
     return out.withColumn("rn", (F.col("__off") + F.col("__i")).cast("long")).drop(
         "__h", "__p", "__l", "__q", "__off", "__i")
 
