@@ -16,8 +16,10 @@ one class).  Sets of at least `percent` % Jaccard similarity are found with sign
 Sharing a signature only makes a pair a candidate.  Signatures with the same members count once.  A pair then has
 to pass a bound that never rejects a match: sets hashed to parity bits differ in at most as many bits as
 the sets differ in tokens.  What passes is verified on the whole texts.  Signature groups are not expanded into pairs: in each round a group's members are
-compared with a few centres, links are contracted into components, members already connected
-are left alone, used centres leave the group, and the number of centres grows fourfold from
+compared with a few centres, links are contracted into components, and members already connected
+are left alone.  Near copies share many groups, so in the first rounds each node names one of its groups by
+min-hash and is compared there only: that joins most of what links, each pair met once.  After them all groups
+take part, used centres leave the group, and the number of centres grows from
 round to round until every pair is linked through a component or tested.  So components are exact.
 
 Corpus counts never pass the driver: each slice of documents sends its tokens to hash buckets, packed
@@ -42,8 +44,8 @@ _U64 = np.uint64
 CLASSES = ((0, 1, 0), (64, 2, 16), (1024, 3, 8))
 #: Below this size all tokens count as rare: a part of k - 1 tokens would be a large share of the set.
 SMALL = 64
-#: Centres per signature group in the first round and their growth.
-CENTRES, GROWTH = 1, 16
+#: Rounds in which a node is compared in one of its groups only; centres a group in these and in the first round after them; their growth in each later one.
+NARROW, CENTRES, GROWTH = 2, 64, 64
 #: 64-bit words of parity bits per set.
 PARITY = 8
 _BITS = [f"p{i}" for i in range(PARITY)]
@@ -347,8 +349,7 @@ def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[
     roots = spark.createDataFrame([], "node long, root long")
     a = texts.select(F.col("hi").alias("a"), F.col("lo").alias("lo_a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("hi").alias("b"), F.col("lo").alias("lo_b"), F.col("text").alias("text_b"))
-    centres, salt = CENTRES, 0
-    left = sigs
+    centres, turn, left = CENTRES, 0, sigs
     while True:
         # a group whose members are one component has nothing left to find
         named = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -356,22 +357,28 @@ def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[
         named = saved(named.join(open_, "sig", "left_semi"), "signatures")
         if named.isEmpty():
             return roots, links
-        slot = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(centres))
-        centre = named.groupBy("sig", slot.alias("slot")).agg(F.min_by(F.struct("node", "root", "n", *_BITS), F.xxhash64("node", F.lit(salt + 1))).alias("c"))
+        rows = named
+        if turn < NARROW:
+            rows = named.groupBy("node").agg(F.min_by("sig", F.xxhash64("sig", F.lit(turn))).alias("sig"), *(F.min(c).alias(c) for c in ("root", "n", *_BITS)))
+            rows = saved(rows, "named")
+        slot = F.pmod(F.xxhash64("node", F.lit(2 * turn)), F.lit(centres))
+        centre = rows.groupBy("sig", slot.alias("slot")).agg(F.min_by(F.struct("node", "root", "n", *_BITS), F.xxhash64("node", F.lit(2 * turn + 1))).alias("c"))
         centre = saved(centre.select("sig", "c.*"), "centres")
-        x, y = named.alias("x"), centre.alias("y")
+        x, y = rows.alias("x"), centre.alias("y")
         pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & _may_match(percent))
                  .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
         new = saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
                     .mapInArrow(_verify(width, percent), "a long, b long"), "links")
-        tested = saved(tested.unionByName(pairs), "tested")
         if not new.isEmpty():
             ends = new.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").select(
                 F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
             merged = connected_components(ends)
-            links = saved(links.unionByName(new.distinct()), "links")
+            links = links.unionByName(new)
             old = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
             roots = saved(old.unionByName(merged.join(old, "node", "left_anti")), "roots")
-        left = saved(named.drop("root").join(centre.select("sig", "node"), ["sig", "node"], "left_anti"), "signatures")
-        centres, salt = centres * GROWTH, salt + 2
+        if turn >= NARROW:
+            left = named.drop("root").join(centre.select("sig", "node"), ["sig", "node"], "left_anti")
+            centres *= GROWTH
+        turn += 1
