@@ -88,17 +88,10 @@ def level_table(train: DataFrame, col: str) -> DataFrame:
     return r.select("level", (F.col("__rn") - 1).cast("int").alias("code"))
 
 
-def _small(table: DataFrame) -> DataFrame:
-    """Broadcast a side table only after counting it (proven size)."""
-    from .ordering import MAX_BROADCAST_ROWS
-    return F.broadcast(table) if table.count() <= MAX_BROADCAST_ROWS else table
-
-
 def ordinal_encode(df: DataFrame, col: str, table: DataFrame, out: str) -> DataFrame:
     """Level -> code; unknown -> -1; NULL stays NULL.  The level table
-    (one row per category) is broadcast once counted, so a dominant level
-    never lands in one join partition."""
-    table = _small(table)
+    (one row per category) carries no hint: Spark broadcasts it by its size in bytes, and
+    beyond that adaptive execution splits a dominant level."""
     j = df.join(table, df[col] == table["level"], "left")
     code = F.when(F.col(col).isNull(), F.lit(None).cast("int")).otherwise(
         F.coalesce(F.col("code"), F.lit(-1)))
@@ -107,7 +100,7 @@ def ordinal_encode(df: DataFrame, col: str, table: DataFrame, out: str) -> DataF
 
 def ordinal_decode(df: DataFrame, code_col: str, table: DataFrame, out: str) -> DataFrame:
     """E7 inverse: code -> level (unknown/NULL -> NULL)."""
-    t = _small(table.select(F.col("level").alias(out), F.col("code").alias("__code")))
+    t = table.select(F.col("level").alias(out), F.col("code").alias("__code"))
     j = df.join(t, df[code_col] == t["__code"], "left")
     return j.select(*df.columns, out)
 

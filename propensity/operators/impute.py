@@ -85,24 +85,22 @@ def impute_probabilistic(df: DataFrame, train: DataFrame, col: str, key: str,
     Range join ``lo <= u < hi`` made an equi-join: every level is listed on
     each of the ``grid`` equal-width cells it overlaps (at most levels+grid
     rows), rows join on their cell, and the exact range test runs after.
+    One pass over ``df``: a row that has a value gets a cell below zero, which
+    matches nothing and is spread like the others, so plans do not grow when
+    several columns are filled one after another.
     """
     bins = category_bins(train, col)
     cells = bins.select("level", "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") * grid).cast("int"),
         F.least(F.floor(F.col("hi") * grid).cast("int"), F.lit(grid - 1)))).alias("cell"))
     u = unit_hash(F.col(key), F.lit(col), F.lit(seed))
-    missing = df.where(F.col(col).isNull()).withColumn("__u", u).withColumn(
-        "__cell", F.floor(F.col("__u") * grid).cast("int"))
-    from .ordering import MAX_BROADCAST_ROWS
-    if cells.count() <= MAX_BROADCAST_ROWS:          # levels + grid rows, counted
-        cells = F.broadcast(cells)
+    cell = F.floor(F.col("__u") * grid).cast("int")
+    rows = df.withColumn("__u", u).withColumn("__cell", F.when(F.col(col).isNull(), cell).otherwise(-1 - cell))
     # left join: a row keeps NULL when there is no level to draw from
-    cond = ((missing["__cell"] == cells["cell"]) & (missing["__u"] >= cells["lo"])
-            & (missing["__u"] < cells["hi"]))
-    drawn = missing.join(cells, cond, "left")
-    drawn = drawn.select(*[F.col("level").alias(c) if c == col else F.col(c)
-                           for c in df.columns])
-    return df.where(F.col(col).isNotNull()).unionByName(drawn)
+    cond = ((rows["__cell"] == cells["cell"]) & (rows["__u"] >= cells["lo"])
+            & (rows["__u"] < cells["hi"]))
+    return rows.join(cells, cond, "left").select(
+        *[F.coalesce(rows[c], F.col("level")).alias(c) if c == col else rows[c] for c in df.columns])
 
 
 def impute_iterative(df: DataFrame, cols: Sequence[str], max_iter: int = 10,

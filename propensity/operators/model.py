@@ -25,6 +25,7 @@ from .encode import feature_encoder
 
 # Default boosted-tree settings (trees, depth, learning rate,
 # row subsample, seed) and the sweep grid of the reference.
+NO_EFFECT = ("reg_alpha", "reg_lambda")      # no counterpart in GBTClassifier
 GBT_DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3,
                 "subsample": 0.8, "gamma": 0.0, "seed": 42}
 SWEEP_GRID = {
@@ -157,8 +158,9 @@ def cross_validate(train: DataFrame, num_cols, cat_cols, label: str = "converted
 
 
 def sample_grid(grid: Mapping[str, Sequence], draws: int, seed: int = 42) -> list[dict]:
-    """Seeded random draws from the full grid (without replacement)."""
-    keys = list(grid)
+    """Seeded random draws from the grid of the parameters that take effect
+    (without replacement, so no two draws are the same fit)."""
+    keys = [k for k in grid if k not in NO_EFFECT]
     points = list(itertools.product(*[grid[k] for k in keys]))
     rng = random.Random(seed)
     picked = rng.sample(points, min(draws, len(points)))
@@ -169,15 +171,15 @@ def sweep(train: DataFrame, val: DataFrame, num_cols, cat_cols, label: str = "co
           grid: Mapping[str, Sequence] = SWEEP_GRID, draws: int = 1,
           seed: int = 42, parallelism: int = 1) -> DataFrame:
     """Each drawn point is fitted on train and scored on validation by
-    macro F1; returns the result table, best first."""
+    macro F1; returns the result table, best first.  Grid parameters without
+    effect here (``NO_EFFECT``) come back as NULL; all rows are used by each tree."""
     spark = train.sparkSession
 
     def one(p):
-        m = fit_model(train, num_cols, cat_cols, label, dict(p, seed=seed))
+        m = fit_model(train, num_cols, cat_cols, label, dict(p, subsample=1.0, seed=seed))
         f1 = macro_f1_of(predict(m, val, [label]), label).first()["macro_f1"]
         return (int(p["n_estimators"]), int(p["max_depth"]), float(p["learning_rate"]),
-                float(p["reg_alpha"]), int(p["min_child_weight"]), float(p["gamma"]),
-                float(p["reg_lambda"]), float(f1))
+                None, int(p["min_child_weight"]), float(p["gamma"]), None, float(f1))
 
     rows = _run_parallel(one, sample_grid(grid, draws, seed), parallelism)
     schema = ("n_estimators int, max_depth int, learning_rate double, reg_alpha double, "

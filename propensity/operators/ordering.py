@@ -25,10 +25,6 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-# side tables above this many rows are joined without a broadcast
-MAX_BROADCAST_ROWS = 1_000_000
-
-
 def _n_buckets(df: DataFrame, n: int | None) -> int:
     if n:
         return max(1, int(n))
@@ -77,14 +73,15 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
         else:                                  # empty input: one bucket
             work = work.withColumn("__bucket", F.lit(0))
     else:
-        # one row of bounds per part (e.g. per column): an equi-join, broadcast
-        # only when the number of parts is counted and small; buckets per part
+        # one row of bounds per part: an equi-join, with a broadcast hint only where the
+        # caller knows the number of parts (one per listed column), else left to the
+        # size-checked automatic broadcast; buckets per part
         # shrink so that parts x buckets stays near the partition count
         n_parts = parts_bound if parts_bound is not None else \
             work.select(*parts).distinct().count()
         per = max(2, nb // max(1, n_parts))
         fracs = [i / per for i in range(1, per)]
-        small = n_parts * per <= MAX_BROADCAST_ROWS
+        small = parts_bound is not None
         bounds = work.groupBy(*parts).agg(F.percentile_approx("__k", fracs, 10000).alias("__b"))
         work = work.join(F.broadcast(bounds) if small else bounds, parts, "left").withColumn(
             "__bucket", F.size(F.filter(F.coalesce(F.col("__b"), F.array().cast("array<double>")),
@@ -101,7 +98,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if with_totals:
         w_all = Window.partitionBy(*parts)
         offs += [F.sum(f"__t_{c}").over(w_all).alias(f"total_{c}") for c in sum_cols]
-    # at most parts x buckets rows (counted above when there are parts)
+    # at most parts x buckets rows
     off = tot.select(*parts, "__bucket", *offs)
     if not parts or small:
         off = F.broadcast(off)
@@ -178,11 +175,8 @@ def row_number_within(df: DataFrame, part_col: str,
         Window.unboundedPreceding, -1)
     before = counts.select(part_col, F.col("__c").alias("__class_n"),
                            F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__before"))
-    # one row per class: counted first, so the broadcast size is proven and
-    # the ranked table is not shuffled for this join
-    n_classes = before.count()
-    small = F.broadcast(before) if n_classes <= MAX_BROADCAST_ROWS else before
-    out = ranked.join(small, ranked[part_col].eqNullSafe(before[part_col]),
+    # one row per class: broadcast by its size where that is small
+    out = ranked.join(before, ranked[part_col].eqNullSafe(before[part_col]),
                       "inner").drop(before[part_col])
     return out.withColumn(name, F.col("__g") - F.col("__before")).drop(
         "__g", "__before")

@@ -141,16 +141,22 @@ def train_flow(spark: SparkSession, source: DataFrame, out_dir: str,
 
 
 def predict_flow(spark: SparkSession, model_path: str, sink: str, key: str = "lead_id",
-                 cutoff: float = 0.3) -> Flow:
-    """Load once, score the whole input, append new keys only."""
+                 cutoff: float = 0.3, evaluation: str | None = None) -> Flow:
+    """Load once, score the whole input, append new keys only.
+
+    ``evaluation``: the evaluation record that the training flow wrote; the optimum in it (a
+    score must exceed it) then replaces ``cutoff`` (a score must reach it)."""
     def load(st):
         st["model"] = PipelineModel.load(model_path)
+        st["cutoff"] = cutoff
+        if evaluation is not None:
+            st["cutoff"] = spark.read.json(evaluation).first()["optimal_threshold"]
         return st
 
     def score(st):
         pr = model.predict(st["model"], st["data"], [key])
         out = pr.select(key, "probability",
-                        predicted_label("probability", cutoff, strict=False).alias("predicted_label"),
+                        predicted_label("probability", st["cutoff"], strict=evaluation is not None).alias("predicted_label"),
                         lead_score("probability").alias("lead_score"))
         st["written"] = readers.append_rows(out, sink, key=key)
         st["scores"] = spark.read.parquet(sink)

@@ -9,14 +9,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.scalar import lead_score, predicted_label
-from ..operators import encode, model, split
+from ..operators import encode, metrics, model, split
 from ..session import scratch_path
+from ..sources import readers
 from ..sources.leads import leads
 from .catalog import query, rnd
 
 NUM = ["total_visits", "time_on_website", "page_views_per_visit"]
 CAT = ["lead_origin", "lead_source", "city", "last_activity"]
-TREES = {"n_estimators": 20}       # 100 stays the library default
 CUTOFF = 0.3
 
 
@@ -42,7 +42,7 @@ def q_encode_features(spark, sf):
 def q_train_gbt(spark, sf):
     """Boosted trees fitted on train; test-split predictions."""
     t = _tagged(spark, sf)
-    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT)
     return rnd(model.predict(m, t.where(F.col("split") == "test"), ["lead_id", "converted"]))
 
 
@@ -59,7 +59,7 @@ def q_feature_importance(spark, sf):
     """T5/M5: importances named by vector slot, sorted descending."""
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
-    m = model.fit_model(tr, NUM, CAT, params=TREES)
+    m = model.fit_model(tr, NUM, CAT)
     return rnd(model.feature_importance(m, tr))
 
 
@@ -67,8 +67,7 @@ def q_feature_importance(spark, sf):
 def q_cross_validate(spark, sf):
     """5-fold CV on the training split."""
     t = _tagged(spark, sf)
-    return rnd(model.cross_validate(t.where(F.col("split") == "train"), NUM, CAT,
-                                    params={"n_estimators": 10}, parallelism=5))
+    return rnd(model.cross_validate(t.where(F.col("split") == "train"), NUM, CAT, parallelism=5))
 
 
 @query("sweep")
@@ -86,9 +85,8 @@ def q_validate_model(spark, sf):
     confusion counts, ROC and PR areas."""
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
-    cv = model.cross_validate(tr, NUM, CAT, params={"n_estimators": 10},
-                              parallelism=5).first()["mean_macro_f1"]
-    m = model.fit_model(tr, NUM, CAT, params=TREES)
+    cv = model.cross_validate(tr, NUM, CAT, parallelism=5).first()["mean_macro_f1"]
+    m = model.fit_model(tr, NUM, CAT)
     pred = model.predict(m, t.where(F.col("split") == "test"), ["converted"])
     return rnd(model.validation_report(pred, threshold=CUTOFF, cv_mean=cv))
 
@@ -98,7 +96,7 @@ def q_batch_score(spark, sf):
     """The saved model is loaded once and scores the whole
     table in one distributed pass (the reference loaded it per row)."""
     t = _tagged(spark, sf)
-    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT)
     path = scratch_path(spark, "lead_model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -113,10 +111,9 @@ def q_evaluate_model(spark, sf):
     """Model probabilities on validation -> 101-point sweep -> optimal
     cut-off -> F1/precision/recall/accuracy there."""
     t = _tagged(spark, sf)
-    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT)
     val = model.predict(m, t.where(F.col("split") == "val"), ["converted"])
     s = val.select(F.col("converted").alias("label"), F.col("probability").alias("score"))
-    from ..operators import metrics
     return rnd(metrics.scores_at_optimum(metrics.threshold_sweep(s, 100, strict=True)))
 
 
@@ -124,7 +121,7 @@ def q_evaluate_model(spark, sf):
 def q_train_flow(spark, sf):
     """D2u: the whole training flow as named steps; returns the test report."""
     from .flows import TrainConfig, train_flow
-    cfg = TrainConfig(params=TREES, rules={
+    cfg = TrainConfig(rules={
         "lead_id": {"type": "integer"},
         "converted": {"type": "integer", "minimum": 0, "maximum": 1},
         "total_visits": {"type": "float", "minimum": 0, "maximum": 300},
@@ -140,15 +137,19 @@ def q_train_flow(spark, sf):
 
 @query("predict_flow")
 def q_predict_flow(spark, sf):
-    """A saved model scores the whole lead table into an idempotent
-    sink; running the flow twice writes each lead once."""
+    """A saved model scores the whole lead table, at the cut-off tuned on the
+    validation split, into an idempotent sink; running the flow twice writes each lead once."""
     from .flows import predict_flow
     t = _tagged(spark, sf)
-    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT, params=TREES)
+    m = model.fit_model(t.where(F.col("split") == "train"), NUM, CAT)
     path = scratch_path(spark, "flow_model")
     m.write().overwrite().save(path)
     sink = scratch_path(spark, "flow_scores")
-    flow = predict_flow(spark, path, sink)
+    val = model.predict(m, t.where(F.col("split") == "val"), ["converted"])
+    s = val.select(F.col("converted").alias("label"), F.col("probability").alias("score"))
+    found = scratch_path(spark, "flow_evaluation")
+    readers.write_json(metrics.scores_at_optimum(metrics.threshold_sweep(s, 100, strict=True)), found)
+    flow = predict_flow(spark, path, sink, evaluation=found)
     flow.run({"data": leads(spark, sf)})
     st = flow.run({"data": leads(spark, sf)})
     return rnd(st["scores"])
@@ -160,5 +161,5 @@ def q_importance_tail(spark, sf):
     weakest features, candidates for removal)."""
     t = _tagged(spark, sf)
     tr = t.where(F.col("split") == "train")
-    m = model.fit_model(tr, NUM, CAT, params=TREES)
+    m = model.fit_model(tr, NUM, CAT)
     return rnd(split.sorted_slice(model.feature_importance(m, tr), "importance", 20, 41, tie_cols=["feature"]))

@@ -88,6 +88,26 @@ def q_validated_rows(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("validation_gate", with_(LEADS) + """
+SELECT 'present' AS rules, TRUE AS passed, COUNT(*) AS written FROM leads
+UNION ALL
+SELECT 'priorities', COUNT(*) FILTER (WHERE lead_origin IS NULL OR lead_origin NOT IN """ + _in(PRIORITIES) + """) = 0,
+       CASE WHEN COUNT(*) FILTER (WHERE lead_origin IS NULL OR lead_origin NOT IN """ + _in(PRIORITIES) + """) = 0
+            THEN COUNT(*) ELSE 0 END FROM leads""")
+def q_validation_gate(spark, sf):
+    """F9 gate on all leads, under rules they keep and under rules they break: rows
+    written by each (none where the gate withholds the table)."""
+    from ..session import scratch_path
+    d = leads(spark, sf).select("lead_id", "lead_origin", "converted")
+    results = []
+    for name, cols in (("present", ("lead_id", "converted")), ("priorities", ("lead_id", "lead_origin", "converted"))):
+        path = scratch_path(spark, "gate")
+        passed = validate.write_if_valid(d, validate.validation_status(d.select(*cols), {c: LEAD_RULES[c] for c in cols}), path)
+        written = spark.read.parquet(path).select(F.count(F.lit(1)).alias("written")) if passed else spark.range(1).select(F.lit(0).cast("long").alias("written"))
+        results.append(written.select(F.lit(name).alias("rules"), F.lit(passed).alias("passed"), "written"))
+    return results[0].unionByName(results[1])
+
+
 # ---------------------------------------------------------------- X1-X7
 @query("recode_categories", with_(LEADS) + """
 SELECT lead_id,

@@ -31,15 +31,15 @@ def _union(parts: list[str]) -> str:
 # ---------------------------------------------------------------- A1 A2
 @query("column_stats", with_(LEADS) + "\n" + _union([
     f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_distinct, "
-    + (f"ROUND(VAR_SAMP({c}), 6)" if k == "numerical" and c != "lead_id"
-       else "CAST(NULL AS DOUBLE)") + " AS var_samp FROM leads"
+    + ("ROUND(VAR_SAMP(lead_id) / 1000000, 0) * 1000000" if c == "lead_id"
+       else f"ROUND(VAR_SAMP({c}), 6)" if k == "numerical" else "CAST(NULL AS DOUBLE)") + " AS var_samp FROM leads"
     for c, _, k in LEAD_COLS]))
 def q_column_stats(spark, sf):
     d = leads(spark, sf)
-    # the key's variance is not a feature statistic; report only distinct
+    # the key's variance is large: compared in millions, in Spark and in the oracle
     s = profile.column_stats(d)
-    return rnd(s.withColumn("var_samp", F.when(F.col("column_name") != "lead_id",
-                                               F.col("var_samp"))))
+    return rnd(s.withColumn("var_samp", F.when(F.col("column_name") == "lead_id", F.round(F.col("var_samp") / 1000000, 0) * 1000000)
+                            .otherwise(F.col("var_samp"))))
 
 
 # ---------------------------------------------------------------- P4-P7

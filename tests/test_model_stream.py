@@ -146,3 +146,9 @@ def test_train_flow_writes_status_and_metrics(spark, tmp_path):
     assert {r.metric for r in st["report"].collect()} >= {"accuracy", "roc_auc", "pr_auc"}
     assert set(f.timings) == {"ingest", "clean", "validate", "split", "train", "evaluate",
                               "validate_model"}
+
+
+def test_sweep_draws_no_fit_twice():
+    points = model.sample_grid(model.SWEEP_GRID, 2916, seed=1)
+    assert len(points) == 324 and not set(points[0]) & set(model.NO_EFFECT)
+    assert len({tuple(p.items()) for p in points}) == 324

@@ -135,3 +135,17 @@ def test_probabilistic_fill_keeps_rows_without_levels(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "id long, c string")
     out = impute.impute_probabilistic(df, df, "c", "id")
     assert sorted((r.id, r.c) for r in out.collect()) == [(1, None), (2, None)]
+
+
+def test_probabilistic_fill_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i, None if i % 3 else "ab"[i % 2], None if i % 2 else "c") for i in range(60)], "k long, a string, b string").write.parquet(path)
+    d = spark.read.parquet(path)
+    out = d
+    for c in ("a", "b"):
+        out = impute.impute_probabilistic(out, d, c, "k")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" parquet") == 1 or plan.count("Relation [k") == 1
+    rows = {r.k: r for r in out.collect()}
+    assert len(rows) == 60 and all(r.a in "ab" and r.b == "c" for r in rows.values())
+    assert all(rows[i].a == "ab"[i % 2] for i in range(0, 60, 3))
