@@ -38,13 +38,15 @@ def combinations(total: int) -> list[tuple[int, ...]]:
     return sorted(found)
 
 
-def nonnegative_least_squares(gram: np.ndarray, target: np.ndarray, steps: int = 2000) -> np.ndarray:
-    """x >= 0 with least ||A x - b|| from gram = A'A and target = A'b, by the active-set method."""
+def nonnegative_least_squares(a: np.ndarray, b: np.ndarray, steps: int = 2000) -> np.ndarray:
+    """x >= 0 with least ||a x - b||, by the active-set method.  Only the products of active columns
+    with each other are formed, at most as many as a has rows; all of them would be hundreds of MB."""
+    target = a.T @ b
     n = len(target)
     x, active = np.zeros(n), np.zeros(n, bool)
     tolerance = 1e-9 * max(1.0, np.abs(target).max(initial=0.0))
     for _ in range(steps):
-        slope = target - gram[:, active] @ x[active]
+        slope = target - a.T @ (a[:, active] @ x[active])
         slope[active] = -np.inf
         best = int(np.argmax(slope))
         if slope[best] <= tolerance:
@@ -52,7 +54,7 @@ def nonnegative_least_squares(gram: np.ndarray, target: np.ndarray, steps: int =
         active[best] = True
         while True:
             on = np.flatnonzero(active)
-            z = np.linalg.lstsq(gram[np.ix_(on, on)], target[on], rcond=None)[0]
+            z = np.linalg.lstsq(a[:, on].T @ a[:, on], target[on], rcond=None)[0]
             if (z > 1e-12).all():
                 x[:] = 0
                 x[on] = z
@@ -77,7 +79,7 @@ def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     for c, parts in enumerate(combos):
         np.add.at(a[:, c], np.array(parts) - 1, 1)
     b = histogram.astype(float)
-    x = np.floor(nonnegative_least_squares(a.T @ a, a.T @ b) + 1e-6).astype(np.int64)
+    x = np.floor(nonnegative_least_squares(a, b) + 1e-6).astype(np.int64)
     used = np.flatnonzero(x)
     for c in used[np.argsort(x[used], kind="stable")]:           # rounding may ask for more than there are
         need = a[:, c] > 0
@@ -131,7 +133,7 @@ def _places(slots):
     return run
 
 
-def _chopped(width: int, window: int, total: int):
+def _chopped(window: int, total: int):
     """Pieces of the left-over stream, cut at window ends; the end of the stream at powers of two."""
     tail = total % window
     ends, at = [], total - tail
@@ -145,7 +147,7 @@ def _chopped(width: int, window: int, total: int):
         for batch in batches:
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
             for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], f"<u{width}").astype("<u4")
+                ids = np.frombuffer(r["ids"], f"<u{len(r['ids']) // r['length']}").astype("<u4")
                 s, stop = r["at"], r["at"] + len(ids)
                 while s < stop:
                     if s < full * window:
@@ -169,7 +171,6 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW, un
     Null text is empty (one token, `end`); rows with null or equal doc_id are packed like others; other columns
     are ignored.  sequence_id is unique, not dense: 3k whole windows, 3k + 1 combinations, 3k + 2 the rest."""
     spark = docs.sparkSession
-    width = int(encoder(tokenizer, end).kind[2:])
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = saved(docs.mapInArrow(_pieces(tokenizer, end, window), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
                    .withColumn("piece", F.monotonically_increasing_id()), "pieces")
@@ -211,6 +212,6 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW, un
     in_shard = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     at = (rest.withColumn("inner", F.coalesce(F.sum("length").over(in_shard), F.lit(0))).join(starts, "shard")
           .select("piece", (F.col("first") + F.col("inner")).alias("at")))
-    chopped = (pieces.select("piece", "doc_id", "start", "doc_tokens", "ids").join(at, "piece")
-               .mapInArrow(_chopped(width, window, total), ", ".join(f"{c} long" for c in columns)))
+    chopped = (pieces.select("piece", "doc_id", "start", "length", "doc_tokens", "ids").join(at, "piece")
+               .mapInArrow(_chopped(window, total), ", ".join(f"{c} long" for c in columns)))
     return whole.select(columns).unionByName(combined.select(columns)).unionByName(chopped)
