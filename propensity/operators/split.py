@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
+from pyspark.sql.types import AtomicType
 
 
 def hash_order(key: str, seed: int = 42) -> Column:
@@ -34,20 +34,25 @@ def stratified_rank(df: DataFrame, label: str, key: str, seed: int = 42) -> Data
     The order is a hash, so it is uniform: its first four hex digits cut every
     class, however large, into up to 65,536 even pieces.  Their counts give each
     piece's offset, and a window over (class, piece) the place inside; no global
-    sort, and no copy of the rows."""
-    rows = df.withColumn("__h", hash_order(key, seed))
+    sort, and no copy of the rows.
+
+    A NULL key is placed by a hash of the row's plain columns, so such rows are
+    ranked and spread like the others; rows with equal keys follow that hash."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, AtomicType)]
+    rows = df.withColumn("__t", F.xxhash64(*plain) if plain else F.lit(0).cast("long"))
+    rows = rows.withColumn("__h", F.coalesce(hash_order(key, seed), F.md5(F.concat(F.col("__t").cast("string"), F.lit(f"|{seed}")))))
     rows = rows.withColumn("__p", F.substring("__h", 1, 4))
     pieces = rows.groupBy(F.col(label).alias("__l"), F.col("__p").alias("__q")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("__l").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select("__l", "__q", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
                            F.sum("__n").over(Window.partitionBy("__l")).alias("__class_n"))
-    inner = F.row_number().over(Window.partitionBy(label, "__p").orderBy("__h", key))
+    inner = F.row_number().over(Window.partitionBy(label, "__p").orderBy("__h", key, "__t"))
     out = rows.withColumn("__i", inner).join(
         pieces, F.col(label).eqNullSafe(F.col("__l")) & (F.col("__p") == F.col("__q")))
     # a fixed order inside each task, so that row-sampling fits on the result repeat
-    out = out.sortWithinPartitions("__h", key)
+    out = out.sortWithinPartitions("__h", key, "__t")
     return out.withColumn("rn", (F.col("__off") + F.col("__i")).cast("long")).drop(
-        "__h", "__p", "__l", "__q", "__off", "__i")
+        "__t", "__h", "__p", "__l", "__q", "__off", "__i")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, train_pct: int = 70,

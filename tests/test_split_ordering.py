@@ -62,3 +62,20 @@ def test_split_independent_of_partitioning(spark, tagged):
     again = split.stratified_split(d, "converted", "lead_id").toPandas()
     m = tagged.merge(again, on="lead_id", suffixes=("", "_b"))
     assert len(m) == len(tagged) and (m.split == m.split_b).all()
+
+
+def test_split_keeps_null_and_repeated_keys(spark):
+    data = [(None if i % 4 == 0 else f"k{i // 3}", None if i % 7 == 0 else i % 2, i) for i in range(400)]
+    df = spark.createDataFrame(data, "key string, label int, v int")
+    got = split.split_and_folds(df, "label", "key", k=5).toPandas()
+    assert sorted(got.v) == list(range(400))
+    for cls in (None, 0, 1):
+        g = got[got.label.isna() if cls is None else got.label == cls]
+        n = sum(r[1] == cls for r in data)
+        assert len(g) == n and (g.split == "train").sum() == 70 * n // 100
+        assert (g.split != "test").sum() == 85 * n // 100
+        sizes = g.fold.value_counts()
+        assert len(sizes) == 5 and sizes.max() - sizes.min() <= 1
+    again = split.split_and_folds(df.repartition(7, "v"), "label", "key", k=5).toPandas()
+    m = got.merge(again, on="v", suffixes=("", "_b"))
+    assert len(m) == 400 and (m.split == m.split_b).all() and (m.fold == m.fold_b).all()
