@@ -22,8 +22,10 @@ min-hash and is compared there only: that joins most of what links, each pair me
 take part, used centres leave the group, and the number of centres grows from
 round to round until every pair is linked through a component or tested.  So components are exact.
 
-Corpus counts never pass the driver: each slice of documents sends its tokens to hash buckets, packed
-as 48-bit values; a bucket answers the document frequency of tokens in more than one class.
+Corpus counts never pass the driver.  Classes are divided into parts by hash; a part counts each of its tokens
+and sends token and count to the token's hash bucket, which adds the counts up and answers every part the document
+frequency of its tokens in more than one class.  So a token that a third of all texts hold is one entry a part, and no
+group holds its postings.
 """
 
 from __future__ import annotations
@@ -107,68 +109,43 @@ def _classes(width: int):
     return run
 
 
-def _send(width: int, buckets: int):
-    """Tokens of each slice of texts to their buckets: the slice's nodes, tokens per node and 48-bit values."""
+def _sets(width: int):
+    """Each slice's distinct non-empty sets: class, number of tokens and the tokens, sorted."""
     def run(batches):
         for batch in batches:
             for i, j in slices(batch, "text"):
-                h, doc, first = _tokens(batch.slice(i, j - i), width)
-                node, _ = _fingerprints(h, first)
-                _, once = np.unique(node, return_index=True)      # a copy in the slice adds nothing
-                single = np.zeros(len(node), bool)
-                single[once] = True
-                single &= np.diff(first) > 0
-                keep = single[doc]
-                h, doc = h[keep], doc[keep]
-                bucket = bucket_of(h, buckets)
-                order = np.argsort(bucket, kind="stable")
-                h, doc, bucket = h[order], doc[order], bucket[order]
-                runs = splits(bucket)
-                rows = {"bucket": [], "nodes": [], "counts": [], "tokens": []}
-                for s, e in zip(runs[:-1], runs[1:]):
-                    inner = splits(doc[s:e])
-                    rows["bucket"].append(int(bucket[s]))
-                    rows["nodes"].append(node[doc[s:e][inner[:-1]]].tobytes())
-                    rows["counts"].append(np.diff(inner).astype("<u4").tobytes())
-                    rows["tokens"].append(pack48(h[s:e]))
-                yield pa.record_batch([pa.array(rows["bucket"], pa.int64()), *(pa.array(rows[k], pa.binary()) for k in ("nodes", "counts", "tokens"))],
-                                      names=list(rows))
+                h, _, first = _tokens(batch.slice(i, j - i), width)
+                hi, lo = _fingerprints(h, first)
+                _, once = np.unique(np.stack([hi, lo]), axis=1, return_index=True)      # a copy in the slice adds nothing
+                once = once[np.diff(first)[once] > 0]
+                yield pa.record_batch([pa.array(hi[once]), pa.array(lo[once]), pa.array(np.diff(first)[once], pa.int64()), pa.array([h[first[k]:first[k + 1]].tobytes() for k in once], pa.binary())],
+                                      names=["hi", "lo", "n_shingles", "tokens"])
     return run
 
 
-def _answer(parts: int):
-    """Tokens that more than one class holds, with their frequency, packed by part of the nodes."""
+def _ask(buckets: int):
+    """Distinct tokens of a part's classes to their buckets, each with the number of classes in the part that hold it."""
     def run(table: pa.Table) -> pa.Table:
-        nodes = np.concatenate([np.repeat(np.frombuffer(n, np.int64), np.frombuffer(c, "<u4")) for n, c in zip(blobs(table.column("nodes")), blobs(table.column("counts")))])
-        token = np.concatenate([unpack48(x) for x in blobs(table.column("tokens"))])
-        order = np.lexsort((nodes, token))
-        token, nodes = token[order], nodes[order]
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (nodes[1:] != nodes[:-1])
-        token, nodes = token[new], nodes[new]
-        cut = splits(token)
-        df = np.repeat(np.diff(cut), np.diff(cut))
-        keep = df > 1
-        token, nodes, df = token[keep], nodes[keep], df[keep]
-        part = (nodes.view(_U64) % _U64(parts)).astype(np.int64)
-        order = np.lexsort((nodes, part))
-        token, nodes, df, part = token[order], nodes[order], df[order], part[order]
-        bucket = table.column("bucket")[0].as_py()
-        out = {"part": [], "bucket": [], "nodes": [], "counts": [], "tokens": [], "df": []}
-        runs = splits(part)
-        for s, e in zip(runs[:-1], runs[1:]):
-            inner = splits(nodes[s:e])
-            out["part"].append(int(part[s]))
-            out["bucket"].append(bucket)
-            out["nodes"].append(nodes[s:e][inner[:-1]].tobytes())
-            out["counts"].append(np.diff(inner).astype("<u4").tobytes())
-            out["tokens"].append(pack48(token[s:e]))
-            out["df"].append(df[s:e].astype("<u4").tobytes())
-        return pa.table([pa.array(out["part"], pa.int64()), pa.array(out["bucket"], pa.int64()), *(pa.array(out[k], pa.binary()) for k in ("nodes", "counts", "tokens", "df"))],
-                        names=list(out))
+        token, count = np.unique(np.concatenate([np.frombuffer(x, _U64) for x in blobs(table.column("tokens"))]), return_counts=True)
+        bucket = bucket_of(token, buckets)             # rises with the token
+        runs = splits(bucket)
+        spans = list(zip(runs[:-1], runs[1:]))
+        return pa.table([pa.array(bucket[runs[:-1]], pa.int64()), pa.array([table.column("part")[0].as_py()] * len(spans), pa.int64()),
+                         pa.array([pack48(token[s:e]) for s, e in spans], pa.binary()), pa.array([count[s:e].astype("<u4").tobytes() for s, e in spans], pa.binary())],
+                        names=["bucket", "part", "tokens", "counts"])
     return run
 
 
+def _answer(table: pa.Table) -> pa.Table:
+    """To each part the number of classes that hold its tokens, in the order asked: a token is one entry a part, however many classes hold it."""
+    asked = [unpack48(x) for x in blobs(table.column("tokens"))]
+    token, at = np.unique(np.concatenate(asked), return_inverse=True)
+    df = np.zeros(len(token), np.int64)
+    np.add.at(df, at, np.concatenate([np.frombuffer(x, "<u4") for x in blobs(table.column("counts"))]))
+    ends = np.cumsum([len(x) for x in asked])
+    return pa.table([table.column("part"), table.column("bucket"), pa.array([x.astype("<u4").tobytes() for x in np.split(df[at], ends[:-1])], pa.binary())], names=["part", "bucket", "df"])
+
+
 def band_of(n: np.ndarray, percent: int) -> np.ndarray:
     """Size band: sets that can match are in the same or in neighbouring bands."""
     return np.floor(np.log(np.maximum(n, 1)) / -np.log(percent / 100) + 1e-9).astype(np.int64)
@@ -228,26 +205,19 @@ def signatures_of(n: int, token: np.ndarray, df: np.ndarray, percent: int, class
 
 
 def _prefixes(percent: int, classes, small: int):
-    def run(tokens: pa.Table, sizes: pa.Table) -> pa.Table:
+    def run(answers: pa.Table, sets: pa.Table) -> pa.Table:
         empty = pa.table({"sig": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})
-        if not tokens.num_rows or not sizes.num_rows:
+        if not answers.num_rows or not sets.num_rows:
             return empty
-        size = dict(zip(sizes.column("node").to_pylist(), sizes.column("n_shingles").to_pylist()))
-        node = np.concatenate([np.repeat(np.frombuffer(n, np.int64), np.frombuffer(c, "<u4")) for n, c in zip(blobs(tokens.column("nodes")), blobs(tokens.column("counts")))])
-        token = np.concatenate([unpack48(x) | (_U64(b & 0xFFFF) << _U64(48)) for x, b in zip(blobs(tokens.column("tokens")), tokens.column("bucket").to_pylist())])
-        df = np.concatenate([np.frombuffer(x, "<u4") for x in blobs(tokens.column("df"))]).astype(np.int64)
-        order = np.argsort(node, kind="stable")
-        node, token, df = node[order], token[order], df[order]
-        cut = splits(node)
+        tokens = [np.frombuffer(x, _U64) for x in blobs(sets.column("tokens"))]
+        known = np.unique(np.concatenate(tokens))      # as asked: buckets rise with the token
+        df = np.concatenate([np.frombuffer(x, "<u4") for x in blobs(answers.sort_by("bucket").column("df"))]).astype(np.int64)
         sig, who = [], []
-        for s, e in zip(cut[:-1], cut[1:]):
-            n = size.get(int(node[s]))
-            if n:
-                got = np.unique(signatures_of(n, token[s:e], df[s:e], percent, classes, small))
-                sig.append(got.view(np.int64))
-                who.append(np.full(len(got), node[s]))
-        if not sig:
-            return empty
+        for node, n, token in zip(sets.column("hi").to_pylist(), sets.column("n_shingles").to_pylist(), tokens):
+            held = df[np.searchsorted(known, token)]
+            got = np.unique(signatures_of(n, token[held > 1], held[held > 1], percent, classes, small))
+            sig.append(got.view(np.int64))
+            who.append(np.full(len(got), node))
         return pa.table({"sig": pa.array(np.concatenate(sig)), "node": pa.array(np.concatenate(who))})
     return run
 
@@ -289,11 +259,12 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
     classes_of = saved(filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
                                                        *(F.first(b).alias(b) for b in _BITS)), "sets")
     # counts, prefixes, signatures
-    sizes = classes_of.groupBy(F.col("hi").alias("node")).agg(F.max("n_shingles").alias("n_shingles"))
-    sizes = sizes.withColumn("part", _part(F.col("node"), n))
-    tokens = (docs.mapInArrow(_send(width, n), "bucket long, nodes binary, counts binary, tokens binary")
-              .groupBy("bucket").applyInArrow(_answer(n), "part long, bucket long, nodes binary, counts binary, tokens binary, df binary"))
-    found = tokens.groupBy("part").cogroup(sizes.groupBy("part")).applyInArrow(_prefixes(percent, classes, small), "sig long, node long")
+    sets = docs.mapInArrow(_sets(width), "hi long, lo long, n_shingles long, tokens binary").withColumn("part", F.pmod("hi", F.lit(n)).cast("long"))
+    # copies leave here: a class is one row of its part, so that counts below are of classes
+    sets = sets.repartition("part").dropDuplicates(["part", "hi", "lo"])
+    answers = (sets.groupBy("part").applyInArrow(_ask(n), "bucket long, part long, tokens binary, counts binary")
+               .groupBy("bucket").applyInArrow(_answer, "part long, bucket long, df binary"))
+    found = answers.groupBy("part").cogroup(sets.groupBy("part")).applyInArrow(_prefixes(percent, classes, small), "sig long, node long")
     sigs = saved(found, "signatures")
     # parity bits by node; two classes whose 64-bit node is equal can't be told apart here, so they pass any bound
     bits = classes_of.groupBy(F.col("hi").alias("node")).agg(F.max("n_shingles").alias("n"), F.count("*").alias("k"), *(F.first(b).alias(b) for b in _BITS))
@@ -315,12 +286,6 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
             .unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))))
 
 
-def _part(node, parts: int):
-    """node as an unsigned number modulo parts, as the buckets compute it."""
-    half = F.pmod(F.shiftrightunsigned(node, 1) % parts * 2 + node.bitwiseAND(F.lit(1).cast("long")), F.lit(parts))
-    return half.cast("long")
-
-
 def _several(sigs: DataFrame) -> DataFrame:
     """Rows of signatures that more than one node holds, one signature for each distinct group of members."""
     members = sigs.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))

@@ -92,6 +92,28 @@ def test_jaccard_join(request, table, classes, small):
     assert collections.Counter(map(tuple, got)) == brute_components(texts_of(df))
 
 
+def test_jaccard_join_no_group_holds_a_hot_token(spark, monkeypatch, tmp_path):
+    """Half of all tokens are one shingle: its bucket gets about what the others get."""
+    df = spark.range(4000).selectExpr("id AS doc_id", "concat('one shared licence line u', id) AS text").repartition(4)
+    kind = type(df.groupBy("doc_id"))
+    real, folder = kind.applyInArrow, str(tmp_path)
+
+    def watched(self, func, schema):
+        def run(table):
+            if "bucket" in table.column_names:
+                with open(os.path.join(folder, str(table.column("bucket")[0].as_py())), "w") as f:
+                    f.write(str(table.nbytes))
+            return func(table)
+        return real(self, run, schema)
+
+    monkeypatch.setattr(kind, "applyInArrow", watched)
+    monkeypatch.setattr(jaccard_join, "group_count", lambda docs: 16)
+    got = jaccard_join.jaccard_join(df).collect()
+    assert len(got) == 4000 and all(r["component_id"] == r["doc_id"] and r["n_shingles"] == 2 for r in got)
+    sizes = sorted(int(p.read_text()) for p in tmp_path.iterdir())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+
+
 @pytest.mark.parametrize("table,block,digest", [("docs", 64, 16), ("docs", 64, 1), ("odd", 32, 16), ("empty", 64, 16)])
 def test_exact_dedup(request, table, block, digest):
     df = request.getfixturevalue(table)
