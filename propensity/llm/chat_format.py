@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.llm.common import saved
@@ -60,10 +60,18 @@ class ChatModel:
 
 
 def segments(lines: DataFrame) -> DataFrame:
-    """Transcript turns (conv_id, turn, role, text) to rows (conv_id, node, turns): SEGMENT turns in order each."""
+    """Transcript turns (conv_id, turn, role, text) to rows (conv_id, node, turns): SEGMENT turns in order each.
+
+    Turns are numbered by their place in the conversation, whatever `turn` holds: a sort over all rows cuts a
+    long conversation into runs, and the counts of the runs before give each run its first place."""
     rows = lines.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
                         F.lower(F.trim("role")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
-    return rows.groupBy("conv_id", F.floor(F.col("turn") / SEGMENT).alias("node")).agg(F.sort_array(F.collect_list(F.struct("turn", "text", "role"))).alias("turns"))
+    rows = saved(rows.orderBy("conv_id", "turn", "text", "role").withColumn("at", F.monotonically_increasing_id()), "turns").withColumn("run", F.shiftright("at", 33))
+    runs = rows.groupBy(F.col("conv_id").alias("c"), F.col("run").alias("r")).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("c").orderBy("r").rowsBetween(Window.unboundedPreceding, -1))     # a row per run
+    runs = runs.select("c", "r", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    placed = rows.join(runs, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("run") == F.col("r"))).withColumn("place", F.col("at") + F.col("shift"))
+    return placed.groupBy("conv_id", F.floor(F.col("place") / SEGMENT).alias("node")).agg(F.sort_array(F.collect_list(F.struct("place", "turn", "text", "role"))).alias("turns"))
 
 
 def _truth(turns: list[dict]) -> list[tuple[int, int]]:

@@ -302,3 +302,19 @@ def test_chat_markers_and_odd_rows(spark):
     assert len(got) == 4 and got[1, 0]["role_pred"] == "user" and got[1, 1]["role_pred"] == "assistant"
     assert got[1, 0]["rendered"] + got[1, 1]["rendered"] == "<|user|>\nhello?<|end|>\n<|assistant|>\nyes\nsecond line"
     assert chat_format.format_chat(df.limit(0), chat_format.fit_chat(df.limit(0))).count() == 0
+
+
+def test_chat_segments_are_bounded_whatever_turn_holds(spark, monkeypatch):
+    """Null, negative, repeated and far-off turns, and rows without conv_id: at most SEGMENT rows a segment, in order, none lost."""
+    monkeypatch.setattr(chat_format, "SEGMENT", 3)
+    rows = [(c, t, "user", f"line {i}") for i, (c, t) in enumerate([(1, None)] * 10 + [(1, -5), (1, -1), (1, 10**12)] + [(None, None)] * 8 + [(None, 4)] * 5 + [(2, -7)])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    found = collections.defaultdict(dict)
+    for r in chat_format.segments(df).collect():
+        assert len(r["turns"]) <= 3
+        found[r["conv_id"]][r["node"]] = [(t["turn"], t["text"]) for t in r["turns"]]
+    for conv, nodes in found.items():
+        want = sorted((t or 0, x) for c, t, _, x in rows if c == conv)
+        assert sorted(nodes) == list(range(-(-len(want) // 3))) and [x for k in sorted(nodes) for x in nodes[k]] == want
+    got = chat_format.format_chat(df, chat_format.fit_chat(df)).collect()
+    assert collections.Counter((r["conv_id"], r["turn"]) for r in got) == collections.Counter((c, t or 0) for c, t, _, _ in rows)
