@@ -45,7 +45,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a five-word shingle similarity of 0.8 or more: the one with the smallest doc_id."""
-    found = jaccard_join(docs, width=5, percent=80)
+    found = jaccard_join(docs, width=5, percent=80, with_links=False)
     return _only(docs, found.where("doc_id = component_id OR doc_id IS NULL"))
 
 

@@ -244,10 +244,11 @@ def _verify(width: int, percent: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLASSES, small: int = SMALL) -> DataFrame:
+def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLASSES, small: int = SMALL, with_links: bool = True) -> DataFrame:
     """Per row of docs(doc_id, text): doc_id, n_shingles (distinct), component_id (smallest doc_id reachable
-    over links, its own included) and n_links (tested links of its class to other classes, as far as needed
-    to connect the component; copies not counted).
+    over links, its own included) and, unless with_links is false, n_links (classes that its class is linked to;
+    copies not counted).  Links are counted in a pass of their own that tests every candidate pair, so k near
+    copies of each other cost k * (k - 1) / 2 tests; components do not need it.
 
     Words are lower-cased in A-Z only.  Null or empty texts have no shingles and no links; rows with
     a null doc_id share the component of documents with an equal set, else link with nothing (null component_id); rows with equal
@@ -276,14 +277,20 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
     texts = saved(docs.join(wanted, docs.doc_id == wanted.least).select("hi", "lo", "text")
                   .mapInArrow(_own(width), "hi long, lo long, text string"), "texts").dropDuplicates(["hi", "lo"])
     texts = saved(texts, "texts")
-    roots, links = _link(sigs, texts, width, percent)
+    roots = _link(sigs, texts, width, percent)
     found = classes_of.join(roots, classes_of.hi == roots.node, "left").select(
         "hi", "lo", "least", F.coalesce("root", "hi").alias("root"))
     lowest = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    degree = (links.select(F.col("a").alias("hi")).unionAll(links.select(F.col("b").alias("hi"))).groupBy("hi").agg(F.count("*").alias("n_links")))
-    named = found.join(lowest, "root").join(degree, "hi", "left").select("hi", "lo", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return (filled.join(named, ["hi", "lo"]).select("doc_id", "n_shingles", "component_id", "n_links")
-            .unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))))
+    named = found.join(lowest, "root").select("hi", "lo", "component_id")
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = ["doc_id", "n_shingles", "component_id"]
+    if with_links:
+        links = _links(sigs, texts, width, percent)
+        degree = links.select(F.col("a").alias("hi")).unionAll(links.select(F.col("b").alias("hi"))).groupBy("hi").agg(F.count("*").alias("n_links"))
+        named = named.join(degree, "hi", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+        alone = alone.withColumn("n_links", F.lit(0).cast("long"))
+        out.append("n_links")
+    return filled.join(named, ["hi", "lo"]).select(out).unionByName(alone)
 
 
 def _several(sigs: DataFrame) -> DataFrame:
@@ -306,14 +313,27 @@ def _own(width: int):
     return run
 
 
-def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Components over nodes: (node, root) and the verified links, by rounds of growing numbers of centres."""
+def _sides(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (texts.select(F.col("hi").alias("a"), F.col("lo").alias("lo_a"), F.col("text").alias("text_a")),
+            texts.select(F.col("hi").alias("b"), F.col("lo").alias("lo_b"), F.col("text").alias("text_b")))
+
+
+def _links(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links (a, b), a < b: each pair of nodes that shares a signature and may match is tested once."""
+    a, b = _sides(texts)
+    x, y = sigs.alias("x"), sigs.alias("y")
+    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node")) & _may_match(percent))
+             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    pairs = saved(pairs, "pairs")
+    return saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long"), "links")
+
+
+def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Components over nodes: (node, root), by rounds of growing numbers of centres."""
     spark = sigs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tested = links
+    tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
-    a = texts.select(F.col("hi").alias("a"), F.col("lo").alias("lo_a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("hi").alias("b"), F.col("lo").alias("lo_b"), F.col("text").alias("text_b"))
+    a, b = _sides(texts)
     centres, turn, left = CENTRES, 0, sigs
     while True:
         # a group whose members are one component has nothing left to find
@@ -321,7 +341,7 @@ def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[
         open_ = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("sig")
         named = saved(named.join(open_, "sig", "left_semi"), "signatures")
         if named.isEmpty():
-            return roots, links
+            return roots
         rows = named
         if turn < NARROW:
             rows = named.groupBy("node").agg(F.min_by("sig", F.xxhash64("sig", F.lit(turn))).alias("sig"), *(F.min(c).alias(c) for c in ("root", "n", *_BITS)))
@@ -340,7 +360,6 @@ def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[
             ends = new.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").select(
                 F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
             merged = connected_components(ends)
-            links = links.unionByName(new)
             old = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
             roots = saved(old.unionByName(merged.join(old, "node", "left_anti")), "roots")
         if turn >= NARROW:

@@ -50,7 +50,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(documents(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+    return jaccard_join(documents(spark, sf_dir), width=4, percent=85, with_links=False).select("doc_id", "n_shingles", "component_id")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,26 @@ def test_jaccard_join(request, table, classes, small):
     assert collections.Counter(map(tuple, got)) == brute_components(texts_of(df))
 
 
+def test_jaccard_join_counts_every_link(spark):
+    """A clique of near copies with exact copies among them, a chain whose ends are not linked, and texts without links."""
+    base = [f"w{i}" for i in range(120)]
+    clique = [" ".join(base[:115] + [f"c{k}"]) for k in range(12)]
+    chain = [" ".join(f"v{i}" for i in range(6 * k, 100 + 6 * k)) for k in range(5)]
+    texts = clique + clique[:2] + chain + ["nothing like it at all", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sets = {}
+    for t in texts:
+        w = (t or "").split()
+        sets[t] = frozenset(tuple(w[k:k + 4]) for k in range(max(len(w) - 3, min(len(w), 1))))
+    distinct = set(sets.values()) - {frozenset()}
+    want = {i: sum(o != sets[t] and 100 * len(o & sets[t]) >= 85 * len(o | sets[t]) for o in distinct) for i, t in enumerate(texts)}
+    assert want[0] == 11 and {want[i] for i in range(14, 19)} == {1, 2}
+    got = jaccard_join.jaccard_join(df).collect()
+    assert len(got) == len(texts) and {r["doc_id"]: r["n_links"] for r in got} == want
+    bare = jaccard_join.jaccard_join(df, with_links=False)
+    assert bare.columns == ["doc_id", "n_shingles", "component_id"] and sorted(map(tuple, bare.collect())) == sorted(tuple(r)[:3] for r in got)
+
+
 def test_jaccard_join_no_group_holds_a_hot_token(spark, monkeypatch, tmp_path):
     """Half of all tokens are one shingle: its bucket gets about what the others get."""
     df = spark.range(4000).selectExpr("id AS doc_id", "concat('one shared licence line u', id) AS text").repartition(4)
