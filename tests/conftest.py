@@ -3,10 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -15,10 +13,3 @@ def spark():
     s = local_session(4, shuffle_partitions=4)
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collect as sorted tuples (for small hand-made frames)."""
-    cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
-                  key=lambda t: tuple((v is not None, v) for v in t))

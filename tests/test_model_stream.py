@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from helpers import SF_MID
 from propensity.operators import curves, model, split
 from propensity.sources.leads import leads
 

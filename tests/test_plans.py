@@ -2,7 +2,7 @@
 query; row-level work never funnels through one partition."""
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from propensity.plans.catalog import oracle_sql, queries
 from propensity.plans.plan_audit import audit, plan_text
 

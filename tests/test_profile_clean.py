@@ -1,7 +1,7 @@
 import pandas as pd
 import pytest
 
-from conftest import rows
+from helpers import rows
 from propensity.operators import clean, profile
 from propensity.sources.leads import nan_to_null
 

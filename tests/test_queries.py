@@ -2,7 +2,7 @@
 other query runs.  (The driver runs the same comparison at sf0.01.)"""
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from propensity.plans.catalog import oracle_sql, queries
 from propensity.plans.check import digest, duck
 

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from helpers import rows
 from propensity.functions import scalar as X
 from propensity.operators import encode, impute, validate
 
