@@ -22,6 +22,7 @@ from propensity.llm.quality import fit_quality, score_quality
 from propensity.llm.substring_dedup import substring_dedup
 from propensity.llm.token_files import read_token_files, write_token_files
 from propensity.llm.tokens import tokenizer_path
+from propensity.llm.vector_codes import compress_vectors
 from propensity.session import table_path
 
 
@@ -75,6 +76,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(table_path(sf_dir, "embeddings")).select("vec_id", F.col("embedding").alias("vector"), "label")
+    return compress_vectors(vectors).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_substring_dedup": op2_substring_dedup,
@@ -86,8 +92,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+
+def _codebook_rounds(rounds: int) -> str:
+    """Common table expressions of the rounds: nearest entries a<k> and the entries c<k+1> made of them."""
+    near = """
+a{k} AS MATERIALIZED (SELECT r, part, any_value(x) AS x, min(struct_pack(d := d, e := entry)) AS m FROM (
+        SELECT p.r, p.part, p.x, c.entry, CAST(list_sum([(p.x[j] - c.c[j]) * (p.x[j] - c.c[j]) for j in range(1, len(p.x) + 1)]) AS BIGINT) AS d
+        FROM p JOIN c{k} c USING (part)) GROUP BY r, part)"""
+    mean = """
+c{n} AS MATERIALIZED (SELECT o.part, o.entry, coalesce(u.c, o.c) AS c FROM c{k} o LEFT JOIN (
+        SELECT part, entry, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY j) AS c FROM (
+          SELECT part, m.e AS entry, j, sum(x[j]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(x) + 1)) AS j FROM a{k}) GROUP BY ALL)
+        GROUP BY part, entry) u USING (part, entry))"""
+    return ",".join(near.format(k=k) + "," + mean.format(k=k, n=k + 1) for k in range(rounds)) + "," + near.format(k=rounds)
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -137,4 +159,14 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * (r
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op13_vector_codes": r"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+                  [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+p AS MATERIALIZED (SELECT r, part, q[len(q) // 8 * part + 1:len(q) // 8 * (part + 1)] AS x FROM (SELECT *, unnest(range(8)) AS part FROM v)),
+c0 AS (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 16),""" + _codebook_rounds(6) + r""",
+g AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a6 GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS s FROM c6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h.s AS codebooks_sha256
+FROM v JOIN g USING (r), h""",
 }
