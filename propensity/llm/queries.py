@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from propensity.llm.chat_format import as_transcripts, fit_chat, format_chat
 from propensity.llm.common import documents, held_out
 from propensity.llm.exact_dedup import exact_dedup
+from propensity.llm.fill_middle import fill_in_middle
 from propensity.llm.fingerprints import fingerprint_documents
 from propensity.llm.jaccard_join import jaccard_join
 from propensity.llm.language import fit_language, identify_language
+from propensity.llm.line_dedup import line_dedup
 from propensity.llm.mix_sources import mix_sources
 from propensity.llm.packing import pack
 from propensity.llm.quality import fit_quality, score_quality
@@ -76,6 +78,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir), with_text=False)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(documents(spark, sf_dir))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(table_path(sf_dir, "embeddings")).select("vec_id", F.col("embedding").alias("vector"), "label")
     return compress_vectors(vectors).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -92,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -159,6 +171,28 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * (r
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op11_line_dedup": r"""
+WITH l AS (SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM (
+             SELECT doc_id, unnest(u) AS line, unnest(range(len(u))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS u FROM documents))),
+f AS (SELECT k, min(doc_id) AS m FROM l WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+x AS (SELECT l.*, coalesce(f.m < l.doc_id, false) AS gone FROM l LEFT JOIN f USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM x GROUP BY doc_id""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+e AS (SELECT *, len(u) AS n, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) for i in range(4)] AS r FROM d),
+c AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+                     WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+             least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b FROM e),
+s AS (SELECT *, array_to_string(u[:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS x FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m ELSE '<S>' || x || '<P>' || p || '<M>' || m END AS y FROM s),
+k AS (SELECT *, strpos(y, '<P>') AS kp, strpos(y, '<S>') AS ks, strpos(y, '<M>') AS km FROM o)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars, sha256(y) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN y WHEN 'psm' THEN substr(y, 4, ks - 4) || substr(y, km + 3) || substr(y, ks + 3, km - ks - 3)
+                        ELSE substr(y, kp + 3, km - kp - 3) || substr(y, km + 3) || substr(y, 4, kp - 4) END) AS restored_sha256 FROM k""",
     "op13_vector_codes": r"""
 WITH v AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
                   [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q FROM embeddings

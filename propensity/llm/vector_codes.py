@@ -63,9 +63,9 @@ def _integers(column, dimension: int, limit: int) -> tuple[np.ndarray, np.ndarra
     flat = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
     rows = np.flatnonzero(np.diff(ends) == dimension)
     at = ends[rows][:, None] + np.arange(dimension)
-    scaled = np.floor(flat[at] * SCALE)
+    scaled = flat[at] * SCALE
     fits = (np.abs(scaled) <= limit).all(axis=1)
-    return rows[fits], scaled[fits].astype(np.int64)
+    return rows[fits], np.floor(scaled[fits]).astype(np.int64)
 
 
 def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def _read(batch: pa.RecordBatch, model: Codebooks) -> tuple[np.ndarray, np.ndarr
     rows = np.flatnonzero(ints.is_valid().to_numpy(zero_copy_only=False))
     raw = b"".join(ints.drop_null().to_pylist())
     far = b"".join(batch.column("to_pivot").drop_null().to_pylist())
-    return rows, np.frombuffer(raw, "<i4").reshape(-1, parts, width).astype(np.int64), np.frombuffer(far).reshape(len(rows), parts, -1)
+    return rows, np.frombuffer(raw, "<i4").reshape(-1, parts, width).astype(np.int64), np.frombuffer(far).reshape(len(rows), parts, model.pivots.shape[1])
 
 
 def _sums(model: Codebooks):
@@ -184,7 +184,7 @@ def train_codebooks(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRI
     lead = first.orderBy(*order).select(F.size("vector").alias("n")).first()
     dimension = lead["n"] if lead else 0
     limit = _limit(dimension)
-    codable = first.where((F.size("vector") == dimension) & F.forall("vector", lambda c: F.abs(F.floor(c.cast("double") * SCALE)) <= limit))
+    codable = first.where((F.size("vector") == dimension) & F.forall("vector", lambda c: F.abs(c.cast("double") * SCALE) <= limit))
     seeds = codable.orderBy(*order).limit(entries).select("vector").collect()
     start = np.floor(np.array([r[0] for r in seeds], np.float64) * SCALE).astype(np.int64).reshape(len(seeds), parts, -1).transpose(1, 0, 2) \
         if seeds else np.zeros((parts, 0, 0), np.int64)
