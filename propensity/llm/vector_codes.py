@@ -131,7 +131,7 @@ def _read(batch: pa.RecordBatch, model: Codebooks) -> tuple[np.ndarray, np.ndarr
     rows = np.flatnonzero(ints.is_valid().to_numpy(zero_copy_only=False))
     raw = b"".join(ints.drop_null().to_pylist())
     far = b"".join(batch.column("to_pivot").drop_null().to_pylist())
-    return rows, np.frombuffer(raw, "<i4").reshape(-1, parts, width).astype(np.int64), np.frombuffer(far).reshape(len(rows), parts, model.pivots.shape[1])
+    return rows, np.frombuffer(raw, "<i4").reshape(len(rows), parts, width).astype(np.int64), np.frombuffer(far).reshape(len(rows), parts, model.pivots.shape[1])
 
 
 def _sums(model: Codebooks):
