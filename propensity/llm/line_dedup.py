@@ -297,7 +297,7 @@ class LineIndex:
         answers = hits.join(refs, (F.col("shard") == F.col("o_shard")) & (F.col("key") == F.col("o_key")) & (F.col("first") < F.col("last")))
         rows = answers.select("chunk", F.lit(0).alias("kind"), "key", "first", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
         rows = rows.unionByName(docs.select("chunk", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("key"), F.lit(None).cast("long").alias("first"), "doc_id", "text"))
-        got = rows.repartition(max(chunks, 1), "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(
+        got = rows.repartitionById(max(chunks, 1), "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(
             _dropped(self.least, with_text), "doc_id long, n_lines long, n_dropped long, kept_sha256 string, kept_text string")
         return got if with_text else got.drop("kept_text")
 
