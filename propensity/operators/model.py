@@ -157,10 +157,11 @@ def cross_validate(train: DataFrame, num_cols, cat_cols, label: str = "converted
     return out.withColumn("mean_macro_f1", F.avg("macro_f1").over(Window.partitionBy()))
 
 
-def sample_grid(grid: Mapping[str, Sequence], draws: int, seed: int = 42) -> list[dict]:
+def sample_grid(grid: Mapping[str, Sequence], draws: int, seed: int = 42,
+                skip: Sequence[str] = NO_EFFECT) -> list[dict]:
     """Seeded random draws from the grid of the parameters that take effect
     (without replacement, so no two draws are the same fit)."""
-    keys = [k for k in grid if k not in NO_EFFECT]
+    keys = [k for k in grid if k not in skip]
     points = list(itertools.product(*[grid[k] for k in keys]))
     rng = random.Random(seed)
     picked = rng.sample(points, min(draws, len(points)))

@@ -59,5 +59,5 @@ def test_each_pair_of_masks_has_one_key_of_common_columns():
     spread = {(0,): 5, (1,): 3, (2,): 9, (0, 1): 12, (0, 2): 30, (1, 2): 20}
     masks = {0b111: 1000, 0b011: 300, 0b110: 5, 0b100: 2}
     got = knn._subsets(masks, spread, 2, fewest=False)
-    assert all(set(key) <= {i for i in range(3) if rm & dm >> i & 1} and key for (rm, dm), (_, key) in got.items())
+    assert all(set(key) <= {i for i in range(3) if (rm & dm) >> i & 1} and key for (rm, dm), (_, key) in got.items())
     assert (0b011, 0b100) not in got and got[0b110, 0b111] == (0b111, (1, 2)) and got[0b011, 0b110] == (-1, (1,))
