@@ -45,7 +45,7 @@ ISO_SQL = "%Y-%m-%dT%H:%M:%S.%f"      # the same text in DuckDB
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from . import q_booster, q_io, q_metrics, q_neighbours, q_model, q_other, q_prep, q_profile  # noqa: F401
+    from . import q_booster, q_io, q_metrics, q_neighbours, q_model, q_other, q_prep, q_profile, q_sketches  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
