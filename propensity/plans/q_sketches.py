@@ -1,10 +1,10 @@
-"""Registered query of the mergeable profile."""
+"""Registered queries of the mergeable profile (A1 A2 A6 A10 A12) and the publishing gate."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import sketches
+from ..operators import publish, sketches
 from ..session import scratch_path
 from ..sources.leads import leads
 from .catalog import query, rnd
@@ -46,3 +46,24 @@ def q_merged_profile(spark, sf):
     return rnd(p.join(held, F.col("column_name") == F.col("c")).select(
         "column_name", "n_rows", "n_missing", F.coalesce("n_zeros", F.lit(0)).alias("n_zeros"), "mean", "std", "min", "max", "distinct_fits",
         F.coalesce("quantiles_fit", F.lit(True)).alias("quantiles_fit")))
+
+
+@query("publish_gate", with_(LEADS) + """,
+bad AS (SELECT count(*) FILTER (lead_origin IS NULL OR lead_origin NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')) AS b FROM leads)
+SELECT 'first' AS step, b = 0 AS passed, CASE WHEN b = 0 THEN (SELECT count(*) FROM leads) ELSE 0 END AS visible FROM bad
+UNION ALL SELECT 'second', true, count(*) FROM leads
+UNION ALL SELECT 'third', (SELECT b = 0 FROM bad), count(*) FROM leads""")
+def q_publish_gate(spark, sf):
+    """A version that breaks a rule, one that keeps it, the broken one again; rows visible after each."""
+    d = leads(spark, sf).select("lead_id", "lead_origin", "converted")
+    narrow = {"lead_id": {"type": "integer"}, "lead_origin": {"type": "string", "enum": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]},
+              "converted": {"type": "integer", "minimum": 0, "maximum": 1}}
+    wide = {**narrow, "lead_origin": {"type": "string", "enum": narrow["lead_origin"]["enum"] + ["5-LOW"]}}
+    root, out = scratch_path(spark, "published"), None
+    for step, rules in (("first", narrow), ("second", wide), ("third", narrow)):
+        done = publish.publish(d, rules, root, step)
+        now = publish.read_published(spark, root)
+        now = spark.range(0) if now is None else now
+        row = now.agg(F.lit(step).alias("step"), F.lit(done.passed).alias("passed"), F.count(F.lit(1)).alias("visible"))
+        out = row if out is None else out.unionByName(row)
+    return out
