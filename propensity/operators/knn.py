@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,13 +77,28 @@ def code_patterns(df: DataFrame, cols: Sequence[str]) -> Patterns:
     return Patterns(_kept(p, "coded"), cols, levels, [count.get(i, 0) for i in range(len(cols))])
 
 
+def _set_hashes(sets: Sequence[tuple[int, ...]], n: int):
+    """Per batch: the distinct hashes of the codes in every set of columns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [batch.column(f"c{i}").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.uint64) for i in range(n)]
+            for i, s in enumerate(sets):
+                h = np.zeros(batch.num_rows, np.uint64)
+                for c in s:
+                    h = (h ^ codes[c]) * np.uint64(0x9E3779B97F4A7C15)
+                    h ^= h >> np.uint64(29)
+                h = np.unique(h).view(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(h), i, np.int32)), pa.array(h)], names=["i", "h"])
+    return run
+
+
 def _spread(p: Patterns, width: int) -> dict[tuple[int, ...], int]:
     """About how many different codes the patterns have in each set of at most ``width`` columns (one pass; at
     most 2**MAX_COLUMNS rows come back).  Columns that go together spread less than their levels suggest."""
-    sets = [c for w in range(1, width + 1) for c in itertools.combinations(range(len(p.cols)), w)]
-    hashed = F.array(*[F.struct(F.lit(i).alias("i"), F.xxhash64(*[F.coalesce(F.col(f"c{x}"), F.lit(-1)) for x in c]).alias("h")) for i, c in enumerate(sets)])
-    got = p.table.select(F.explode(hashed).alias("e")).groupBy("e.i").agg(F.approx_count_distinct("e.h").alias("n")).collect()
-    return {sets[r["i"]]: r["n"] for r in got}
+    n = len(p.cols)
+    sets = [c for w in range(1, width + 1) for c in itertools.combinations(range(n), w)]
+    hashed = p.table.select(*[f"c{i}" for i in range(n)]).mapInArrow(_set_hashes(sets, n), "i int, h long")
+    return {sets[r["i"]]: r["n"] for r in hashed.groupBy("i").agg(F.approx_count_distinct("h").alias("n")).collect()}
 
 
 def _subsets(masks: dict[int, int], spread: dict[tuple[int, ...], int], width: int, fewest: bool) -> dict[tuple[int, int], tuple[int, tuple[int, ...]]]:
@@ -181,6 +198,8 @@ def nearest_patterns(p: Patterns, k: int = 5, stages=STAGES) -> DataFrame:
     donors = p.table.where("mask <> 0").select(*[F.col(f"c{i}").alias(f"d{i}") for i in range(n)], F.col("mask").alias("d_mask"), "cnt")
     lacks = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(i)) for i, c in enumerate(codes)]))
     active = _kept(p.table.where((F.col("mask") != full) & (F.col("mask") != 0)).select("pid", F.explode(lacks).alias("target"), *codes, "mask"), "active")
+    if masks.keys() <= {0, full}:           # nothing lacks a cell, or nothing but
+        return spark.createDataFrame([], "pid long, target int, dist long, code int, used long, visited long")
     spread = _spread(p, min(n, max(w for w, _ in stages)))
     found = None
     for width, radius in stages:
