@@ -69,7 +69,10 @@ def fit_model(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str]
     # each stage fit and every boosting round reads the input again: keep the
     # projected training rows (memory, spilling to disk) for the fit only
     used = list(dict.fromkeys([*num_cols, *cat_cols, label]))
-    data = train.select(*used).persist(StorageLevel.MEMORY_AND_DISK)
+    # trees draw their subsample by a row's place: rows are dealt by a hash of their values and
+    # sorted, so that equal data gives equal models however it was shuffled before
+    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = train.select(*used).repartition(parts, *used).sortWithinPartitions(*used).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = Pipeline(stages=stages).fit(data)
     finally:
