@@ -116,7 +116,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int = 2) -> TokenFil
     """Encode every whole text of docs(doc_id, text), null as empty, with `end` appended, in ascending doc_id order
     (null ids first; equal ids in any order).  `tokenizer` is the path of a tokenizer file that every executor has."""
     enc = encoder(tokenizer, end)
-    width, vocabulary = int(enc.kind[2:]), 1 << 16 if enc.kind == "<u2" else enc.first.head.tokenizer.get_vocab_size()
+    width, vocabulary = int(enc.kind[2:]), 1 << 16 if enc.kind == "<u2" else enc.vocabulary
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ids = saved(ordered.mapInArrow(_encode(tokenizer, end), "part long, nth long, doc_id long, ids binary"), "token_ids")

@@ -1,10 +1,10 @@
-"""Token ids of whole texts by a public tokenizer file, with a bounded cache of space-separated pieces.
+"""Token ids of whole texts by a public tokenizer file, with a bounded cache of runs.
 
 Both tokenizers split a text into pre-tokens before merging, and no pre-token reaches over a space
-other than at its first character.  So a text is cut before each single space between two other characters and
-each piece is encoded by itself, in front of which the space is kept; equal pieces are encoded
-once while they are cached.  Texts in which a space stands among other white space are cut only at the
-spaces with non-space characters on both sides."""
+other than at its first character.  One regular expression cuts a text into runs at places that are
+always pre-token boundaries: words of Latin letters with the space in front of them, plain marks after a word, single
+line ends before a word, and whatever else stands up to the next single space between two other
+characters.  Each run is encoded by itself; equal runs are encoded once while they are cached."""
 
 from __future__ import annotations
 
@@ -15,14 +15,15 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Cached pieces and words per worker process; a full cache is emptied.
-PIECES, WORDS = 500_000, 800_000
-_NEAR = re.compile(r"\s (?:\s|$)")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces made of runs that are pre-tokens of both tokenizers wherever they stand: Latin letters, plain marks, one line end.
-_LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
-_RUNS = re.compile(rf"({_LATIN})([.,!?;:*$&#%|]+)?(?:(\n)({_LATIN})([.,!?;:*$&#%|]+)?)?")
-_LETTERS = re.compile(_LATIN)
+#: Cached runs of each of two generations per worker process, and the longest run that is cached.
+RUNS, LONGEST = 400_000, 64
+_LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
+_MARK = "[.,!?;:*$&#%|]"
+#: What may follow a word or its marks if they are to be runs: a space before another character, a line end before a word, the text's end.
+_NEXT = rf"(?: \S|\n{_LATIN}|\Z)"
+#: A word, marks, a line end, or the rest up to a space that has other characters on both sides.
+_RUNS = re.compile(rf" ?{_LATIN}+(?={_MARK}*{_NEXT})|{_MARK}+(?={_NEXT})|\n(?={_LATIN})|[\s\S][^ ]*(?:(?: (?!\S)|(?<=\s) )[^ ]*)*")
+_WORD = re.compile(rf" ?{_LATIN}+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -38,80 +39,40 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
-class _Ids(dict):
-    """Text -> its ids as bytes, with `lead` in front of the text."""
+class _Runs(dict):
+    """Run -> its ids as bytes.  A full cache becomes the old generation; a run met again there is taken over, the others go."""
 
-    def __init__(self, tokenizer, lead: str, kind: str, most: int):
+    def __init__(self, tokenizer, kind: str):
         super().__init__()
-        self.tokenizer, self.lead, self.kind, self.most = tokenizer, lead, kind, most
+        self.tokenizer, self.code, self.old = tokenizer, "H" if kind == "<u2" else "I", {}
         self.table = _byte_letters()
         folded = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("A") == "a"
         self.fold = str.lower if folded else str
-        self.mark = tokenizer.pre_tokenizer.pre_tokenize_str(lead + "a")[0][0][:-1]
-        probe = ["The", "stra\u00dfe", "\u00c9\u00e0\u00e7\u00fc", "\u00edn", "aaa" * 40]
-        whole = [e.ids for e in tokenizer.encode_batch([lead + p for p in probe], add_special_tokens=False)]
-        self.direct = [self._letters(p) for p in probe] == [np.array(x, kind).tobytes() for x in whole]
+        self.marks = [tokenizer.pre_tokenizer.pre_tokenize_str(lead + "a")[0][0][:-1] for lead in ("", " ")]
+        probe = [lead + p for lead in ("", " ") for p in ("The", "stra\u00dfe", "\u00c9\u00e0\u00e7\u00fc", "\u00edn", "aaa" * 40)]
+        self.direct = all(self._letters(p) == self._whole(p) for p in probe)
 
-    def _letters(self, word: str) -> bytes:
+    def _whole(self, run: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, run: str) -> bytes:
         """One pre-token of letters, straight through the tokenizer's model."""
-        word = self.fold(word)
+        spaced = run[0] == " "
+        word = self.fold(run[1:] if spaced else run)
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.table)
-        return array("H" if self.kind == "<u2" else "I", [t.id for t in self.tokenizer.model.tokenize(self.mark + word)]).tobytes()
-
-    def fill(self, wanted: set[str]) -> None:
-        new = wanted.difference(self)
-        if len(self) + len(new) > self.most:
-            self.clear()
-            new = wanted
-        other = []
-        for p in new:
-            if self.direct and _LETTERS.fullmatch(p):
-                self[p] = self._letters(p)
-            else:
-                other.append(p)
-        for i in range(0, len(other), 20_000):
-            part = other[i:i + 20_000]
-            for p, e in zip(part, self.tokenizer.encode_batch([self.lead + p for p in part], add_special_tokens=False)):
-                self[p] = np.array(e.ids, self.kind).tobytes()
-
-
-class _Pieces(dict):
-    """Space-separated pieces.  One made of letters, plain marks and single line ends is put together from its runs."""
-
-    def __init__(self, first: _Ids, other: _Ids):
-        super().__init__()
-        self.head, self.rest = first, other
-
-    def fill(self, wanted: set[str]) -> None:
-        new = wanted.difference(self)
-        if len(self) + len(new) > PIECES:
-            self.clear()
-            new = wanted
-        runs: dict[str, tuple] = {}
-        head, rest = set(), set()
-        for p in new:
-            got = None if p.isalpha() else _RUNS.fullmatch(p)
-            if got is None:
-                head.add(p)
-            else:
-                runs[p] = got = got.groups()
-                head.add(got[0])
-                rest.update(got[1:])
-        rest.discard(None)
-        self.head.fill(head)
-        self.rest.fill(rest)
-        h, r = self.head, self.rest
-        for p in new:
-            got = runs.get(p)
-            if got is None:
-                self[p] = h[p]
-            else:
-                ids = h[got[0]]
-                for x in got[1:]:
-                    if x is not None:
-                        ids += r[x]
-                self[p] = ids
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(self.marks[spaced] + word)]).tobytes()
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self.old.get(run)
+        if ids is None:
+            ids = self._letters(run) if self.direct and _WORD.fullmatch(run) else self._whole(run)
+        if len(run) <= LONGEST:
+            if len(self) >= RUNS:
+                self.old = dict(self)
+                self.clear()
+            self[run] = ids
+        return ids
 
 
 class Encoder:
@@ -120,21 +81,15 @@ class Encoder:
     def __init__(self, path: str, end: int = 2):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        bare = _Ids(tokenizer, "", self.kind, WORDS // 4)
-        self.first, self.inner = _Pieces(bare, bare), _Pieces(_Ids(tokenizer, " ", self.kind, WORDS), bare)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
+        self.runs = _Runs(self.tokenizer, self.kind)
         self.end = np.array([end], self.kind).tobytes()
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        cut = [(_CUT.split(t) if _NEAR.search(t) else t.split(" ")) if t else [""] for t in texts]
-        inner: set[str] = set()
-        for p in cut:
-            inner.update(p[1:])
-        self.first.fill({p[0] for p in cut})
-        self.inner.fill(inner)
-        get = self.inner.__getitem__
-        return [np.frombuffer(self.first[p[0]] + b"".join(map(get, p[1:])) + self.end, self.kind) for p in cut]
+        ids, runs = self.runs.__getitem__, _RUNS.findall
+        return [np.frombuffer(b"".join(map(ids, runs(t or ""))) + self.end, self.kind) for t in texts]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
