@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.common import held_out, slices
+from propensity.llm.common import held_out, saved, slices
 
 LETTERS, SAMPLE, PENALTY, OUT = 1 << 16, 20_000, 8.0, -60.0
 #: Cells (documents x words) that are worked at once.
@@ -120,7 +120,8 @@ def fit_language(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Learns from text and non-null lang of at most `sample` documents per language (lowest id hashes) that are not held out."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(~held_out(F.col("doc_id")))
     # the share of ids that keeps every language within the bound; a language above it is thinned by its id hash
-    sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
+    # the sizes are a written table of one row per language, so Spark sees its bytes and no text moves by language
+    sizes = saved(known.groupBy("lang").agg(F.count("*").alias("docs")), "languages")
     unit = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     picked = known.select("lang", "text", unit.alias("u")).join(sizes, "lang").where(F.col("u") * F.col("docs") < sample).select("lang", "text")
     rows = picked.mapInArrow(_counts, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()
@@ -138,7 +139,8 @@ def fit_language(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
 def viterbi(score: np.ndarray, first: np.ndarray, penalty: float, cells: int = CELLS) -> np.ndarray:
     """Best state per word of each document (words x states; first word per document): staying is free, changing costs penalty."""
     n, states = np.diff(first), score.shape[1]
-    path = np.zeros(len(score), np.int8)
+    number = np.min_scalar_type(states)
+    path = np.zeros(len(score), number)
     order = np.argsort(-n, kind="stable")
     order = order[n[order] > 0]
     at = 0
@@ -147,10 +149,10 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float, cells: int = C
         group = order[at:at + max(1, cells // longest)]
         at += len(group)
         size, begin = n[group], first[group]
-        came = np.zeros((longest, len(group), states), np.int8)      # the state before, per state
+        came = np.zeros((longest, len(group), states), number)      # the state before, per state
         best = score[begin].copy()
         live = np.searchsorted(-size, -np.arange(longest), side="left")  # documents with more than t words
-        own = np.arange(states, dtype=np.int8)
+        own = np.arange(states, dtype=number)
         for t in range(1, longest):
             m = int(live[t])
             top = best[:m].argmax(1)

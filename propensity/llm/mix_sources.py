@@ -11,6 +11,8 @@ shuffle.  The tables of sources and thresholds have one row per source."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +90,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
 
     The document at the threshold is taken if that brings the source nearer to its target.  Null text has size
     0; a null source is a source, ordered last; rows with equal or null doc_id share a hash and are taken
-    together.  Other columns are ignored; an empty table gives an empty result."""
+    together; no document, empty ones included, is taken more than `most` times, rounded up.  Other columns are ignored; an empty table gives an empty result."""
     rows = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("key"))
     rows = saved(rows, "sizes")
     targets = source_targets(rows, weights, share, most)
@@ -96,6 +98,6 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     rows = rows.join(t, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     cut = thresholds(rows.select("sid", "size", "key"), targets)
     once_more = (F.col("key") < F.col("low")) | (F.col("also") & (F.col("key") < F.col("high")))
-    copies = F.col("repeats") + once_more.cast("long")
+    copies = F.least(F.col("repeats") + once_more.cast("long"), F.lit(math.ceil(most)).cast("long"))     # a document of size 0 is no exception
     return (rows.join(cut, "sid").withColumn("copies", copies)
             .select("doc_id", *["source"] * with_source, "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"))

@@ -2,8 +2,9 @@
 
 Features of a text: a bucket for each word, one for a word that repeats the word before it, and one for each window of 3 and of 4 bytes that has white space at its
 ends only.  A document is the mean of its features' learned vectors; two output rows and a bias give the
-label's probabilities.  Everything is trained by numpy stochastic gradient descent on the driver, on a sample of
-at most `sample` labelled documents (those whose id hashes lowest), so what the driver gets is bounded.
+label's probabilities.  Everything is trained by numpy stochastic gradient descent in one task, on a sample of
+at most `sample` labelled documents (those whose id hashes lowest), so what that task holds is bounded; the driver
+gets the model alone.
 For two labels the score only needs each vector's product with the difference of the output rows: a
 table of one number per bucket is broadcast, and scoring is a lookup and a mean."""
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.llm import textnp as T
-from propensity.llm.common import held_out, slices
+from propensity.llm.common import held_out, saved, slices
 
 BUCKETS, DIM, SAMPLE, EPOCHS, STEPS, BATCH, RATE = 1 << 17, 16, 6000, 6, 1000, 32, 0.5
 GRAMS = (3, 4)
@@ -120,19 +121,35 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     return QualityModel(vectors, output, bias, prior)
 
 
+def _fit(batches):
+    """The model of all bags of the one partition, whatever their order."""
+    rows = []
+    for batch in batches:
+        ids, labels = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
+        rows += zip(ids, labels, batch.column("idx").to_pylist(), batch.column("share").to_pylist())
+    rows.sort(key=lambda r: (r[0], r[2]))
+    model = train([(np.frombuffer(idx, "<i4"), np.frombuffer(share, "<f4")) for _, _, idx, share in rows], np.array([r[1] for r in rows], np.int64))
+    yield pa.record_batch([pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (model.vectors, model.output, model.bias)] + [pa.array([model.prior])],
+                          names=["vectors", "output", "bias", "prior"])
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
-    """Trains on labels(doc_id, quality) of rows that are not held out; a doc_id with several labels counts by its first."""
+    """Trains on labels(doc_id, quality) of rows that are not held out; a doc_id with several labels counts by its smallest,
+    each row of a labelled doc_id is trained on, null doc_ids and texts without a word are not.  Without two labels every text scores the prior."""
     known = (labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
              .where(~held_out(F.col("doc_id"))))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(picked, "doc_id").select("doc_id", "label", "text").mapInArrow(_bags, "doc_id long, label int, idx binary, share binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["idx"])))
-    bags = [(np.frombuffer(r["idx"], "<i4"), np.frombuffer(r["share"], "<f4")) for r in rows]
-    return train(bags, np.array([r["label"] for r in rows], np.int64))
+    bags = saved(texts.join(picked, "doc_id").select("doc_id", "label", "text").mapInArrow(_bags, "doc_id long, label int, idx binary, share binary"), "bags")
+    # one short row from the only task; the bags stay in the shared folder, so a lost executor costs the training alone
+    fitted = bags.repartition(1).mapInArrow(_fit, "vectors binary, output binary, bias binary, prior double").first()
+    if fitted is None:
+        return train([], np.zeros(0, np.int64))
+    return QualityModel(np.frombuffer(fitted["vectors"], "<f4").reshape(BUCKETS, DIM), np.frombuffer(fitted["output"], "<f4").reshape(DIM, 2),
+                        np.frombuffer(fitted["bias"], "<f4"), fitted["prior"])
 
 
-def _score(model):
+def _score(model, name: str):
     def run(batches):
         table, bias, prior = model.value
         for batch in batches:
@@ -142,14 +159,14 @@ def _score(model):
                 n = np.bincount(doc, minlength=len(part))
                 mean = np.bincount(doc, table[idx], len(part)) / np.maximum(n, 1)
                 score = np.where(n > 0, 1 / (1 + np.exp(-np.clip(mean + bias, -50, 50))), prior)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, "__score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, name])
     return run
 
 
 def score_quality(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
     """docs with a score column (0 to 1, higher: label 1 likelier).  Empty and null texts get the prior.
     All other columns pass through; an existing column of that name is replaced."""
-    docs = docs.drop(name, "__score")
+    docs = docs.drop(name)
     sent = docs.sparkSession.sparkContext.broadcast((model.table(), float(model.bias[1] - model.bias[0]), model.prior))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __score double"
-    return docs.mapInArrow(_score(sent), schema).withColumnRenamed("__score", name)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` double"
+    return docs.mapInArrow(_score(sent, name), schema)

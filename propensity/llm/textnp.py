@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240607)
@@ -21,6 +22,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 2**64)
 #: Bytes hashed at once; bounds the working memory whatever the text's length.
 _SEGMENT = 1 << 20
+#: Longest word in bytes that is hashed by prefix sums.
+LONG = 40
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -84,7 +87,11 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word's bytes (A-Z folded if lower), by prefix sums over bounded segments."""
+    """A 64-bit hash of each word's bytes (A-Z folded if lower).
+
+    Words of up to LONG bytes are hashed as polynomials modulo 2^64, all at once by prefix sums over bounded segments;
+    there the low bits that texts built to collide can cancel are few.  Longer words, for which such a polynomial can be
+    made to vanish, are hashed one by one with XXH3."""
     out = np.empty(len(starts), U64)
     table = _BYTE_LOWER if lower else _BYTE
     i = 0
@@ -97,6 +104,9 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
         h = (sums[e] - sums[s]) * _power(_BASE_INV, hi - lo + 1)[s]
         out[i:j] = mix(h + (e - s).astype(U64))
         i = j
+    for n in np.flatnonzero(ends - starts > LONG):
+        word = buf[starts[n]:ends[n]].tobytes()
+        out[n] = xxhash.xxh3_64_intdigest(word.lower() if lower else word, seed=LONG)
     return out
 
 
