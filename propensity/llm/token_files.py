@@ -30,24 +30,31 @@ BLOCK_TOKENS = 1 << 19
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
 
+def _width(longest: int) -> int:
+    """Bytes of the narrowest unsigned type that holds values of that many bytes."""
+    return longest if longest < 3 else 4
+
+
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control, data) of unsigned 32-bit values."""
-    v = values.astype("<u4")
-    size = 1 + (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
+    top = int(values.max(initial=0))
+    width = _width(max(1, (top.bit_length() + 7) // 8))
+    v = values.astype(f"<u{width}")
     code = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    code[:len(v)] = size - 1
+    for bits in range(8, 8 * width, 8):
+        code[:len(v)] += v >> bits > 0
+    data = v.view(np.uint8).reshape(-1, width)[np.arange(width, dtype=np.uint8) <= code[:len(v), None]]
     code = code.reshape(-1, 4)
-    control = code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6
-    raw = v.view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes(), raw[np.arange(4) < size[:, None]].tobytes()
+    return (code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6).tobytes(), data.tobytes()
 
 
 def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The n values back: lengths by table lookup, bytes to their places by one mask."""
     size = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < size[:, None]] = np.frombuffer(data, np.uint8)
-    return out.reshape(-1).view("<u4")
+    width = _width(int(size.max(initial=1)))
+    out = np.zeros((n, width), np.uint8)
+    out[np.arange(width, dtype=np.uint8) < size[:, None]] = np.frombuffer(data, np.uint8)
+    return out.reshape(-1).view(f"<u{width}").astype("<u4")
 
 
 @dataclass

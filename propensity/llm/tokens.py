@@ -22,8 +22,8 @@ _MARK = "[.,!?;:*$&#%|]"
 #: What may follow a word or its marks if they are to be runs: a space before another character, a line end before a word, the text's end.
 _NEXT = rf"(?: \S|\n{_LATIN}|\Z)"
 #: A word, marks, a line end, or the rest up to a space that has other characters on both sides.
-_RUNS = re.compile(rf" ?{_LATIN}+(?={_MARK}*{_NEXT})|{_MARK}+(?={_NEXT})|\n(?={_LATIN})|[\s\S][^ ]*(?:(?: (?!\S)|(?<=\s) )[^ ]*)*")
-_WORD = re.compile(rf" ?{_LATIN}+")
+_RUNS = re.compile(rf" ?{_LATIN}++(?={_MARK}*+{_NEXT})|{_MARK}++(?={_NEXT})|\n(?={_LATIN})|[\s\S][^ ]*+(?:(?: (?!\S)|(?<=\s) )[^ ]*+)*+")
+_WORD = re.compile(f"{_LATIN}+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -45,28 +45,30 @@ class _Runs(dict):
     def __init__(self, tokenizer, kind: str):
         super().__init__()
         self.tokenizer, self.code, self.old = tokenizer, "H" if kind == "<u2" else "I", {}
+        self.tokenize = tokenizer.model.tokenize
         self.table = _byte_letters()
         folded = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("A") == "a"
         self.fold = str.lower if folded else str
         self.marks = [tokenizer.pre_tokenizer.pre_tokenize_str(lead + "a")[0][0][:-1] for lead in ("", " ")]
-        probe = [lead + p for lead in ("", " ") for p in ("The", "stra\u00dfe", "\u00c9\u00e0\u00e7\u00fc", "\u00edn", "aaa" * 40)]
-        self.direct = all(self._letters(p) == self._whole(p) for p in probe)
+        probe = ["The", "stra\u00dfe", "\u00c9\u00e0\u00e7\u00fc", "\u00edn", "aaa" * 40]
+        self.direct = all(self._letters(p, spaced) == self._whole(" " * spaced + p) for p in probe for spaced in (False, True))
 
     def _whole(self, run: str) -> bytes:
         return array(self.code, self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
 
-    def _letters(self, run: str) -> bytes:
+    def _letters(self, word: str, spaced: bool) -> bytes:
         """One pre-token of letters, straight through the tokenizer's model."""
-        spaced = run[0] == " "
-        word = self.fold(run[1:] if spaced else run)
+        word = self.fold(word)
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.table)
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(self.marks[spaced] + word)]).tobytes()
+        return array(self.code, [t.id for t in self.tokenize(self.marks[spaced] + word)]).tobytes()
 
     def __missing__(self, run: str) -> bytes:
         ids = self.old.get(run)
         if ids is None:
-            ids = self._letters(run) if self.direct and _WORD.fullmatch(run) else self._whole(run)
+            spaced = run[0] == " "
+            word = run[1:] if spaced else run
+            ids = self._letters(word, spaced) if self.direct and (word.isascii() and word.isalpha() or _WORD.fullmatch(word)) else self._whole(run)
         if len(run) <= LONGEST:
             if len(self) >= RUNS:
                 self.old = dict(self)
