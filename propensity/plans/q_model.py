@@ -21,8 +21,11 @@ CUTOFF = 0.3
 
 
 def _tagged(spark, sf):
-    """Leads with split and fold from one ranking pass."""
-    return split.split_and_folds(leads(spark, sf), "converted", "lead_id", k=5)
+    """Leads with split and fold from one ranking pass, written once: fits and scores
+    read the table, and only the splits they need."""
+    path = scratch_path(spark, "tagged")
+    readers.write_parquet(split.split_and_folds(leads(spark, sf), "converted", "lead_id", k=5), path, ["split"])
+    return spark.read.parquet(path)
 
 
 @query("encode_features")
@@ -100,7 +103,7 @@ def q_batch_score(spark, sf):
     path = scratch_path(spark, "lead_model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    p = model.predict(loaded, leads(spark, sf), ["lead_id"])
+    p = model.predict(loaded, t, ["lead_id"])
     return rnd(p.select("lead_id", "probability", "prediction",
                         predicted_label("probability", CUTOFF, strict=False).alias("predicted_label"),
                         lead_score("probability").alias("lead_score")))
@@ -150,8 +153,8 @@ def q_predict_flow(spark, sf):
     found = scratch_path(spark, "flow_evaluation")
     readers.write_json(metrics.scores_at_optimum(metrics.threshold_sweep(s, 100, strict=True)), found)
     flow = predict_flow(spark, path, sink, evaluation=found)
-    flow.run({"data": leads(spark, sf)})
-    st = flow.run({"data": leads(spark, sf)})
+    flow.run({"data": t})
+    st = flow.run({"data": t})
     return rnd(st["scores"])
 
 

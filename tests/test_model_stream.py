@@ -152,3 +152,28 @@ def test_sweep_draws_no_fit_twice():
     points = model.sample_grid(model.SWEEP_GRID, 2916, seed=1)
     assert len(points) == 324 and not set(points[0]) & set(model.NO_EFFECT)
     assert len({tuple(p.items()) for p in points}) == 324
+
+
+def test_fit_reads_encoded_rows_without_their_plan(spark, monkeypatch):
+    """Every level of a boosted fit is a job whose tasks carry the input's plan: it ends at the encoded rows."""
+    from pyspark.ml.classification import GBTClassifier
+    seen, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: (seen.append(df), fit(self, df, *a))[1])
+    rows = spark.createDataFrame([(float(i % 7), "ab"[i % 2], i % 3 % 2) for i in range(40)], "x double, c string, converted int")
+    model.fit_model(rows, ["x"], ["c"], params={"n_estimators": 1, "max_depth": 1})
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan and "Exchange" not in plan and "InMemory" not in plan
+    assert seen[0].columns == ["features", "converted"] and seen[0].schema["features"].metadata["ml_attr"]["attrs"]["binary"]
+
+
+def test_model_queries_read_the_tagged_leads_from_files(spark, tmp_path):
+    from propensity.plans import q_model
+    for name, rows, schema in [
+            ("orders", [(i, i % 3, "1-URGENT", "F") for i in range(40)], "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string"),
+            ("lineitem", [(i, float(i), "RN"[i % 2]) for i in range(40)], "l_orderkey long, l_quantity double, l_returnflag string"),
+            ("customer", [(0, 0, "AUTO"), (1, 0, "AUTO")], "c_custkey long, c_nationkey long, c_mktsegment string"),
+            ("nation", [(0, "PERU")], "n_nationkey long, n_name string")]:
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    t = q_model._tagged(spark, str(tmp_path))
+    assert all("/scratch/tagged-" in f for f in t.inputFiles())
+    assert sorted(r.lead_id for r in t.collect()) == list(range(40)) and t.where("split = 'val'").count() == 6
