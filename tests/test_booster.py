@@ -97,3 +97,35 @@ def test_odd_input(spark, frame):
     flat = frame.select("id", F.lit(1.0).alias("a"), F.lit(None).cast("double").alias("b"), F.when(F.col("id") > 3, F.col("y")).alias("y"))
     m = booster.fit_booster(flat, ["a", "b"], "y", "id", {**BASE, "n_estimators": 20, "learning_rate": 1.0})
     assert abs(booster.predict_booster(m, flat, []).first()[0] - flat.agg(F.avg("y")).first()[0]) < 1e-4
+
+
+@pytest.mark.parametrize("features, nodes", [(3, [2, 3]), (5000, [4, 5, 6, 7])])
+def test_sums_by_array_and_by_cell(features, nodes):
+    """Exact sums of the open nodes' rows: a feature's usual code gets what the others leave, and many cells need no array."""
+    import pyarrow as pa
+    rng = np.random.default_rng(2)
+    n = 60
+    codes = np.where(rng.random((n, features)) < .8, 1, rng.integers(0, 4, (n, features))).astype(np.uint8)
+    y, margin = rng.integers(0, 2, n).astype(float), rng.normal(size=n)
+    batch = pa.record_batch([pa.array(np.arange(n)), pa.array(y), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(margin)],
+                            names=["key", "y", "codes", "margin"])
+    tree = booster.Tree.of_depth(3)
+    tree.feature[1:4], tree.bin[1:4] = [0, 1, 2], [1, 1, 1]
+    params = {**booster.DEFAULTS, "max_depth": 3, "subsample": 1.0}
+    if nodes == [2, 3]:
+        tree.feature[2:4] = [-1, -1]
+    got = {}
+    for out in booster._histogram(features, [], tree, nodes, 0, params)(iter([batch.slice(0, 0), batch.slice(0, 25), batch.slice(25)])):
+        for node, f, b, g, h in zip(*[c.to_pylist() for c in out.columns]):
+            old = got.get((node, f, b), (0, 0))
+            got[node, f, b] = old[0] + g, old[1] + h
+    want, prob = {}, 1 / (1 + np.exp(-margin))
+    for i in range(n):
+        node = 1
+        while tree.feature[node] >= 0:
+            c = codes[i, tree.feature[node]]
+            node = 2 * node + (not (tree.missing_left[node] if c == 0 else c <= tree.bin[node]))
+        for f in range(features if node in nodes else 0):
+            old = want.get((node, f, int(codes[i, f])), (0, 0))
+            want[node, f, int(codes[i, f])] = old[0] + int(np.rint((prob[i] - y[i]) * booster.SCALE)), old[1] + int(np.rint(prob[i] * (1 - prob[i]) * booster.SCALE))
+    assert got == want
