@@ -17,10 +17,11 @@ Sharing a signature only makes a pair a candidate.  Signatures with the same mem
 to pass a bound that never rejects a match: sets hashed to parity bits differ in at most as many bits as
 the sets differ in tokens.  What passes is verified on the whole texts.  Signature groups are not expanded into pairs: in each round a group's members are
 compared with a few centres, links are contracted into components, and members already connected
-are left alone.  Near copies share many groups, so in the first rounds each node names one of its groups by
-min-hash and is compared there only: that joins most of what links, each pair met once.  After them all groups
-take part, used centres leave the group, and the number of centres grows from
-round to round until every pair is linked through a component or tested.  So components are exact.
+are left alone; used centres leave the group, and the number of centres grows from round to round until every pair
+is linked through a component or tested.  So components are exact.  Near copies share many groups, so each node
+has LEADS min-hashes of its signatures: nodes with an equal one form a group of their own, and these groups are
+worked first (the first min-hash alone before all of them, which joins most of what links).  A pair is met at the
+first min-hash that it shares; only pairs that share none are met in the signature groups.
 
 Corpus counts never pass the driver.  Classes are divided into parts by hash; a part counts each of its tokens
 and sends token and count to the token's hash bucket, which adds the counts up and answers every part the document
@@ -46,8 +47,11 @@ _U64 = np.uint64
 CLASSES = ((0, 1, 0), (64, 2, 16), (1024, 3, 8))
 #: Below this size all tokens count as rare: a part of k - 1 tokens would be a large share of the set.
 SMALL = 64
-#: Rounds in which a node is compared in one of its groups only; centres a group in these and in the first round after them; their growth in each later one.
-NARROW, CENTRES, GROWTH = 2, 64, 64
+#: Min-hashes of a node's signatures, two to a 64-bit word.
+LEADS = 12
+_LEADS = [f"l{i}" for i in range(LEADS // 2)]
+#: Centres a group has in the first round of the min-hash groups and of the signature groups; their growth in each later one.
+FEW, CENTRES, GROWTH = 4, 64, 64
 #: 64-bit words of parity bits per set.
 PARITY = 8
 _BITS = [f"p{i}" for i in range(PARITY)]
@@ -97,6 +101,26 @@ def _may_match(percent: int):
     return apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
 
 
+def _leads() -> list:
+    """Min-hashes of a node's signatures, to be taken by node."""
+    least = [F.min(F.hash("sig", F.lit(i))).cast("long") for i in range(LEADS)]
+    return [F.shiftleft(least[2 * i], 32).bitwiseOR(least[2 * i + 1].bitwiseAND(F.lit(0xFFFFFFFF))).alias(c) for i, c in enumerate(_LEADS)]
+
+
+def _lead(i: int, of: str = ""):
+    """Min-hash i of a node."""
+    word = F.col(of + _LEADS[i // 2])
+    return word.bitwiseAND(F.lit(0xFFFFFFFF)) if i % 2 else F.shiftrightunsigned(word, 32)
+
+
+def _first_met():
+    """Condition on sides x and y of one group: no earlier min-hash has them in one group too."""
+    met = F.lit(False)
+    for i in range(LEADS):
+        met = met | ((F.col("x.lead") > i) & (_lead(i, "x.") == _lead(i, "y.")))
+    return ~met
+
+
 def _classes(width: int):
     def run(batches):
         for batch in batches:
@@ -270,14 +294,14 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
     # parity bits by node; two classes whose 64-bit node is equal can't be told apart here, so they pass any bound
     bits = classes_of.groupBy(F.col("hi").alias("node")).agg(F.max("n_shingles").alias("n"), F.count("*").alias("k"), *(F.first(b).alias(b) for b in _BITS))
     bits = bits.select("node", F.when(F.col("k") > 1, F.lit(1 << 40)).otherwise(F.col("n")).alias("n"), *_BITS)
-    sigs = saved(_several(sigs).join(bits, "node"), "signatures")
+    sigs = saved(_several(sigs), "signatures")
+    nodes = saved(sigs.groupBy("node").agg(*_leads()).join(bits, "node"), "nodes")
     # texts of the classes that share a signature with another
-    nodes = sigs.select("node").distinct()
-    wanted = classes_of.join(nodes, classes_of.hi == nodes.node, "left_semi").where("least is not null").select("hi", "lo", "least")
+    wanted = classes_of.join(nodes.select("node"), classes_of.hi == nodes.node, "left_semi").where("least is not null").select("hi", "lo", "least")
     texts = saved(docs.join(wanted, docs.doc_id == wanted.least).select("hi", "lo", "text")
                   .mapInArrow(_own(width), "hi long, lo long, text string"), "texts").dropDuplicates(["hi", "lo"])
     texts = saved(texts, "texts")
-    roots = _link(sigs, texts, width, percent)
+    roots = _link(sigs, nodes, texts, width, percent)
     found = classes_of.join(roots, classes_of.hi == roots.node, "left").select(
         "hi", "lo", "least", F.coalesce("root", "hi").alias("root"))
     lowest = found.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -285,7 +309,7 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, classes=CLA
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = ["doc_id", "n_shingles", "component_id"]
     if with_links:
-        links = _links(sigs, texts, width, percent)
+        links = _links(sigs, nodes, texts, width, percent)
         degree = links.select(F.col("a").alias("hi")).unionAll(links.select(F.col("b").alias("hi"))).groupBy("hi").agg(F.count("*").alias("n_links"))
         named = named.join(degree, "hi", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
         alone = alone.withColumn("n_links", F.lit(0).cast("long"))
@@ -318,9 +342,10 @@ def _sides(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             texts.select(F.col("hi").alias("b"), F.col("lo").alias("lo_b"), F.col("text").alias("text_b")))
 
 
-def _links(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(sigs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """All links (a, b), a < b: each pair of nodes that shares a signature and may match is tested once."""
     a, b = _sides(texts)
+    sigs = sigs.join(nodes.select("node", "n", *_BITS), "node")
     x, y = sigs.alias("x"), sigs.alias("y")
     pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node")) & _may_match(percent))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
@@ -328,41 +353,44 @@ def _links(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
     return saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long"), "links")
 
 
-def _link(sigs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Components over nodes: (node, root), by rounds of growing numbers of centres."""
+def _link(sigs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Components over nodes: (node, root), by rounds of growing numbers of centres: groups of the first min-hash
+    (one round), of all min-hashes, of the signatures."""
     spark = sigs.sparkSession
     tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
     a, b = _sides(texts)
-    centres, turn, left = CENTRES, 0, sigs
-    while True:
-        # a group whose members are one component has nothing left to find
-        named = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_ = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("sig")
-        named = saved(named.join(open_, "sig", "left_semi"), "signatures")
-        if named.isEmpty():
-            return roots
-        rows = named
-        if turn < NARROW:
-            rows = named.groupBy("node").agg(F.min_by("sig", F.xxhash64("sig", F.lit(turn))).alias("sig"), *(F.min(c).alias(c) for c in ("root", "n", *_BITS)))
-            rows = saved(rows, "named")
-        slot = F.pmod(F.xxhash64("node", F.lit(2 * turn)), F.lit(centres))
-        centre = rows.groupBy("sig", slot.alias("slot")).agg(F.min_by(F.struct("node", "root", "n", *_BITS), F.xxhash64("node", F.lit(2 * turn + 1))).alias("c"))
-        centre = saved(centre.select("sig", "c.*"), "centres")
-        x, y = rows.alias("x"), centre.alias("y")
-        pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & _may_match(percent))
-                 .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-        pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        new = saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
-                    .mapInArrow(_verify(width, percent), "a long, b long"), "links")
-        if not new.isEmpty():
-            ends = new.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").select(
-                F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-            merged = connected_components(ends)
-            old = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-            roots = saved(old.unionByName(merged.join(old, "node", "left_anti")), "roots")
-        if turn >= NARROW:
-            left = saved(named.drop("root").join(centre.select("sig", "node"), ["sig", "node"], "left_anti"), "signatures")
+    near = nodes.select("node", F.posexplode(F.array(*map(_lead, range(LEADS)))).alias("lead", "sig"))
+    turn = 0
+    for left, centres, once in ((near.where("lead = 0"), FEW, True), (near, FEW, False), (sigs.withColumn("lead", F.lit(LEADS)), CENTRES, False)):
+        while True:
+            # a group whose members are one component has nothing left to find
+            named = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            open_ = named.groupBy("lead", "sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("lead", "sig")
+            rows = saved(named.join(open_, ["lead", "sig"], "left_semi").join(nodes, "node"), "signatures")
+            if rows.isEmpty():
+                break
+            slot = F.pmod(F.xxhash64("node", F.lit(2 * turn)), F.lit(centres))
+            held = F.struct("node", "root", "n", *_LEADS, *_BITS)
+            centre = rows.groupBy("lead", "sig", slot.alias("slot")).agg(F.min_by(held, F.xxhash64("node", F.lit(2 * turn + 1))).alias("c"))
+            centre = saved(centre.select("lead", "sig", "c.*"), "centres")
+            x, y = rows.alias("x"), centre.alias("y")
+            together = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.lead") == F.col("y.lead"))
+            pairs = (x.join(y, together & (F.col("x.root") != F.col("y.root")) & _first_met() & _may_match(percent))
+                     .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+            pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested = tested.unionByName(pairs)
+            new = saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
+                        .mapInArrow(_verify(width, percent), "a long, b long"), "links")
+            if not new.isEmpty():
+                ends = new.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").select(
+                    F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+                merged = connected_components(ends)
+                old = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+                roots = saved(old.unionByName(merged.join(old, "node", "left_anti")), "roots")
+            turn += 1
+            if once:
+                break
+            left = saved(rows.select("lead", "sig", "node").join(centre.select("lead", "sig", "node"), ["lead", "sig", "node"], "left_anti"), "signatures")
             centres *= GROWTH
-        turn += 1
+    return roots

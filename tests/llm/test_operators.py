@@ -112,6 +112,32 @@ def test_jaccard_join_counts_every_link(spark):
     assert bare.columns == ["doc_id", "n_shingles", "component_id"] and sorted(map(tuple, bare.collect())) == sorted(tuple(r)[:3] for r in got)
 
 
+def test_jaccard_join_meets_a_pair_seldom(spark, monkeypatch):
+    """Texts just below the threshold of each other share many signatures: their pairs aren't met in each of them."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base[:8 * k] + [f"x{k}_{i}" for i in range(5)] + base[8 * k + 5:]) for k in range(1, 24)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kind, rows, tested = type(df), [], []
+    distinct, saved = kind.distinct, jaccard_join.saved
+
+    def counted(self):
+        if self.columns == ["a", "b"]:
+            rows.append(self.count())
+        return distinct(self)
+
+    def kept(df, name):
+        got = saved(df, name)
+        if name == "pairs":
+            tested.append(got.count())
+        return got
+
+    monkeypatch.setattr(kind, "distinct", counted)
+    monkeypatch.setattr(jaccard_join, "saved", kept)
+    got = jaccard_join.jaccard_join(df, with_links=False).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got)
+    assert sum(tested) >= 50 and sum(rows) <= 3 * sum(tested)
+
+
 def test_jaccard_join_no_group_holds_a_hot_token(spark, monkeypatch, tmp_path):
     """Half of all tokens are one shingle: its bucket gets about what the others get."""
     df = spark.range(4000).selectExpr("id AS doc_id", "concat('one shared licence line u', id) AS text").repartition(4)
