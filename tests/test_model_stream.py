@@ -177,3 +177,25 @@ def test_model_queries_read_the_tagged_leads_from_files(spark, tmp_path):
     t = q_model._tagged(spark, str(tmp_path))
     assert all("/scratch/tagged-" in f for f in t.inputFiles())
     assert sorted(r.lead_id for r in t.collect()) == list(range(40)) and t.where("split = 'val'").count() == 6
+
+
+def test_fit_has_as_many_partitions_as_its_rows_need(spark, monkeypatch):
+    got = []
+
+    class Seen:
+        def fit(self, rows):
+            got.append((rows.rdd.getNumPartitions(), rows.count()))
+            raise StopIteration
+
+    monkeypatch.setattr(model, "gbt", lambda *a, **k: Seen())
+    rows = spark.range(1000).selectExpr("id % 2 AS converted", "cast(id AS double) AS x", "concat('c', id % 3) AS c")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, per in (("200", model.PART_ROWS), ("200", 50), ("4", 50)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            monkeypatch.setattr(model, "PART_ROWS", per)
+            with pytest.raises(StopIteration):
+                model.fit_model(rows, ["x"], ["c"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert got == [(8, 1000), (20, 1000), (4, 1000)]
