@@ -103,7 +103,7 @@ def _pieces(path: str, end: int, window: int):
             for i, j in slices(batch, "text", 2 << 20):
                 part = batch.slice(i, j - i)
                 out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
-                for doc, ids in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text").to_pylist())):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text"))):
                     for s in range(0, len(ids), window):
                         piece = ids[s:s + window]
                         out["doc_id"].append(doc)

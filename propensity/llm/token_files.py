@@ -71,7 +71,7 @@ def _encode(path: str, end: int):
         for batch in batches:
             for i, j in slices(batch, "text", 2 << 20):
                 piece = batch.slice(i, j - i)
-                ids = enc.encode(piece.column("text").to_pylist())
+                ids = enc.encode(piece.column("text"))
                 yield pa.record_batch([pa.array([part] * len(ids), pa.int64()), pa.array(range(nth, nth + len(ids)), pa.int64()), piece.column("doc_id"),
                                        pa.array([x.astype(enc.kind).tobytes() for x in ids], pa.binary())], names=["part", "nth", "doc_id", "ids"])
                 nth += len(ids)

@@ -212,6 +212,21 @@ def test_encoder_equals_the_library(name):
     assert [x.tolist() for x in tokens.Encoder(tokens.tokenizer_path(name)).encode(texts)] == [e.ids + [2] for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_a_run_is_looked_up_once_a_batch():
+    enc = tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    seen, found = collections.Counter(), enc.runs
+
+    class Counted:
+        def __getitem__(self, run):
+            seen[run] += 1
+            return found[run]
+    enc.runs = Counted()
+    texts = ["The house, the garden.\nThe end", None, " the garden, the house."] * 50
+    got = enc.encode(texts)
+    assert set(seen.values()) == {1} and {" the", ",", "\n", " garden"} <= set(seen)
+    assert [x.tolist() for x in got] == [found.tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
 def test_coding_round_trip():
     for n in (0, 1, 3, 4, 1000):
         v = np.random.default_rng(n).choice([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1], n).astype("<u4")
