@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from propensity.llm.common import saved, slices
 
 BLOCK = 4096
+#: Text bytes that a worker holds as Python objects at once.
+SLICE_BYTES = 2 << 20
 
 
 def _normal(part):
@@ -36,7 +38,7 @@ def _key(text: bytes) -> int:
 
 def _rows(batches):
     for batch in batches:
-        for i, j in slices(batch, "text"):
+        for i, j in slices(batch, "text", SLICE_BYTES):
             part = batch.slice(i, j - i)
             texts = list(_normal(part))
             yield pa.record_batch([part.column("doc_id"), pa.array([_key(x) for x in texts], pa.int64()), pa.array([len(x) for x in texts], pa.int64()),
@@ -47,7 +49,7 @@ def _contents(block: int, digest: int):
     """Distinct blocks of each slice with their digests."""
     def run(batches):
         for batch in batches:
-            for i, j in slices(batch, "text"):
+            for i, j in slices(batch, "text", SLICE_BYTES):
                 seen = {x[s:s + block] for x in _normal(batch.slice(i, j - i)) for s in range(0, max(len(x), 1), block)}
                 seen = list(seen)
                 yield pa.record_batch([pa.array([hashlib.blake2b(x, digest_size=digest).digest() for x in seen], pa.binary()), pa.array(seen, pa.binary())],
@@ -59,7 +61,7 @@ def _places(block: int, digest: int, with_content: bool):
     """One row per document and block."""
     def run(batches):
         for batch in batches:
-            for i, j in slices(batch, "text"):
+            for i, j in slices(batch, "text", SLICE_BYTES):
                 part = batch.slice(i, j - i)
                 out = {"doc_id": [], "h": [], "pos": [], "blocks": [], "digest": []}
                 for doc, text in zip(part.column("doc_id").to_pylist(), _normal(part)):

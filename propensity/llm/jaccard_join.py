@@ -52,6 +52,8 @@ LEADS = 12
 _LEADS = [f"l{i}" for i in range(LEADS // 2)]
 #: Centres a group has in the first round of the min-hash groups and of the signature groups; their growth in each later one.
 FEW, CENTRES, GROWTH = 4, 64, 64
+#: Text bytes and rows that a worker cuts into shingles at once: what it holds is some thirty times the text and 8 KB a row.
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 2_000
 #: 64-bit words of parity bits per set.
 PARITY = 8
 _BITS = [f"p{i}" for i in range(PARITY)]
@@ -124,7 +126,7 @@ def _first_met():
 def _classes(width: int):
     def run(batches):
         for batch in batches:
-            for i, j in slices(batch, "text"):
+            for i, j in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
                 part = batch.slice(i, j - i)
                 h, doc, first = _tokens(part, width)
                 hi, lo = _fingerprints(h, first)
@@ -137,7 +139,7 @@ def _sets(width: int):
     """Each slice's distinct non-empty sets: class, number of tokens and the tokens, sorted."""
     def run(batches):
         for batch in batches:
-            for i, j in slices(batch, "text"):
+            for i, j in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
                 h, _, first = _tokens(batch.slice(i, j - i), width)
                 hi, lo = _fingerprints(h, first)
                 _, once = np.unique(np.stack([hi, lo]), axis=1, return_index=True)      # a copy in the slice adds nothing
@@ -249,14 +251,13 @@ def _prefixes(percent: int, classes, small: int):
 def _verify(width: int, percent: int):
     """Exact test of each pair on the whole texts' distinct shingles."""
     def sets(column):
-        """Shingles of each text; equal texts one after another are worked once."""
-        got, last, value = [], None, None
+        """Shingles of each text, one at a time; equal texts one after another are worked once."""
+        last, value = None, None
         for text in column:
-            if text is None or last is None or not text.equals(last):
-                h, _, _ = _tokens(pa.record_batch([pa.array([text.as_py()], pa.string())], names=["text"]), width)
-                last, value = text, h
-            got.append(value)
-        return got
+            if last is None or not text.equals(last):
+                value, _, _ = _tokens(pa.record_batch([pa.array([text.as_py()], pa.string())], names=["text"]), width)
+                last = text
+            yield value
 
     def run(batches):
         for batch in batches:
@@ -328,7 +329,7 @@ def _own(width: int):
     """Keeps a row if its text has the class it was joined for (rows may share a doc_id)."""
     def run(batches):
         for batch in batches:
-            for i, j in slices(batch, "text"):
+            for i, j in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
                 part = batch.slice(i, j - i)
                 h, _, first = _tokens(part, width)
                 hi, lo = _fingerprints(h, first)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from propensity.llm import common, language, mix_sources, quality, textnp, tokens
+from propensity.llm import common, jaccard_join, language, mix_sources, quality, textnp, tokens
 
 SF = "/root/testdata/sf0.001"
 UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -169,3 +169,21 @@ def test_a_training_step_follows_the_gradient():
             down[d, k] -= e
             slope = (loss(up, start.bias) - loss(down, start.bias)) / (2 * e)
             assert (start.output[d, k] - moved.output[d, k]) / step == pytest.approx(slope, abs=1e-4)
+
+
+def test_short_documents_take_a_worker_little_memory():
+    """A worker's arrays follow the slice, not the Arrow batch: 10,000 short rows, and near pairs of long texts."""
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    words = np.array([f"w{i}" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 60)]) for _ in range(10_000)]
+    rows = pa.record_batch([pa.array(range(10_000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    long = [" ".join(words[rng.integers(0, 5000, 4000)]) for _ in range(300)]
+    near = pa.record_batch([pa.array(range(300), pa.int64())] * 2 + [pa.array(long), pa.array([x + " tail" for x in long])], names=["a", "b", "text_a", "text_b"])
+    for step, batch, most in ((jaccard_join._classes(5), rows, 40), (jaccard_join._sets(5), rows, 40), (jaccard_join._verify(5, 80), near, 12)):
+        list(step(iter([batch.slice(0, 50)])))
+        tracemalloc.start()
+        got = sum(len(out) for out in step(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert got == len(batch) and peak < most
