@@ -38,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.llm import common
 from propensity.llm import textnp as T
-from propensity.llm.common import blobs, bucket_of, group_count, int64s, pack48, saved, slices, splits, unpack48
+from propensity.llm.common import blobs, bucket_of, int64s, pack48, saved, slices, splits, unpack48
 from propensity.llm.components import connected_components
 
 _U64 = np.uint64
@@ -54,11 +55,18 @@ _LEADS = [f"l{i}" for i in range(LEADS // 2)]
 FEW, CENTRES, GROWTH = 4, 64, 64
 #: Text bytes and rows that a worker cuts into shingles at once: what it holds is some thirty times the text and 8 KB a row.
 SLICE_BYTES, SLICE_ROWS = 2 << 20, 2_000
+#: Text bytes of a part of the classes (and of a bucket's share of the tokens): a worker holds all tokens of one part or bucket.
+PART_BYTES = 4 << 20
 #: 64-bit words of parity bits per set.
 PARITY = 8
 _BITS = [f"p{i}" for i in range(PARITY)]
 
 
+def group_count(docs: DataFrame) -> int:
+    """How many parts the classes, and buckets the tokens, are divided into."""
+    return common.group_count(docs, per_group=PART_BYTES)
+
+
 def _tokens(batch, width: int):
     """Distinct shingle hashes of each text: hashes sorted within a document, and first index per document."""
     buf, off = T.buffer_of(batch.column("text"))
@@ -149,10 +157,18 @@ def _sets(width: int):
     return run
 
 
+def _distinct(sets) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens of all sets, sorted, and how many sets hold each.  Sorted in place: np.unique would copy them twice."""
+    token = np.concatenate([np.frombuffer(x, _U64) for x in sets])
+    token.sort()
+    runs = splits(token)
+    return token[runs[:-1]], np.diff(runs)
+
+
 def _ask(buckets: int):
     """Distinct tokens of a part's classes to their buckets, each with the number of classes in the part that hold it."""
     def run(table: pa.Table) -> pa.Table:
-        token, count = np.unique(np.concatenate([np.frombuffer(x, _U64) for x in blobs(table.column("tokens"))]), return_counts=True)
+        token, count = _distinct(blobs(table.column("tokens")))
         bucket = bucket_of(token, buckets)             # rises with the token
         runs = splits(bucket)
         spans = list(zip(runs[:-1], runs[1:]))
@@ -164,12 +180,17 @@ def _ask(buckets: int):
 
 def _answer(table: pa.Table) -> pa.Table:
     """To each part the number of classes that hold its tokens, in the order asked: a token is one entry a part, however many classes hold it."""
-    asked = [unpack48(x) for x in blobs(table.column("tokens"))]
-    token, at = np.unique(np.concatenate(asked), return_inverse=True)
-    df = np.zeros(len(token), np.int64)
-    np.add.at(df, at, np.concatenate([np.frombuffer(x, "<u4") for x in blobs(table.column("counts"))]))
-    ends = np.cumsum([len(x) for x in asked])
-    return pa.table([table.column("part"), table.column("bucket"), pa.array([x.astype("<u4").tobytes() for x in np.split(df[at], ends[:-1])], pa.binary())], names=["part", "bucket", "df"])
+    asked = blobs(table.column("tokens"))
+    ends = np.cumsum([len(x) // 6 for x in asked])
+    token = np.concatenate([unpack48(x) for x in asked])
+    order = np.argsort(token)
+    token = token[order]
+    runs = splits(token)
+    del token
+    sums = np.add.reduceat(np.concatenate([np.frombuffer(x, "<u4") for x in blobs(table.column("counts"))])[order], runs[:-1], dtype=np.uint32)
+    df = np.empty(len(order), "<u4")
+    df[order] = np.repeat(sums, np.diff(runs))
+    return pa.table([table.column("part"), table.column("bucket"), pa.array([x.tobytes() for x in np.split(df, ends[:-1])], pa.binary())], names=["part", "bucket", "df"])
 
 
 def band_of(n: np.ndarray, percent: int) -> np.ndarray:
@@ -236,11 +257,11 @@ def _prefixes(percent: int, classes, small: int):
         if not answers.num_rows or not sets.num_rows:
             return empty
         tokens = [np.frombuffer(x, _U64) for x in blobs(sets.column("tokens"))]
-        known = np.unique(np.concatenate(tokens))      # as asked: buckets rise with the token
-        df = np.concatenate([np.frombuffer(x, "<u4") for x in blobs(answers.sort_by("bucket").column("df"))]).astype(np.int64)
+        known, _ = _distinct(tokens)                   # as asked: buckets rise with the token
+        df = np.concatenate([np.frombuffer(x, "<u4") for x in blobs(answers.sort_by("bucket").column("df"))])
         sig, who = [], []
         for node, n, token in zip(sets.column("hi").to_pylist(), sets.column("n_shingles").to_pylist(), tokens):
-            held = df[np.searchsorted(known, token)]
+            held = df[np.searchsorted(known, token)].astype(np.int64)
             got = np.unique(signatures_of(n, token[held > 1], held[held > 1], percent, classes, small))
             sig.append(got.view(np.int64))
             who.append(np.full(len(got), node))

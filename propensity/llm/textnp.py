@@ -20,8 +20,8 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 2**64)
-#: Bytes hashed at once; bounds the working memory whatever the text's length.
-_SEGMENT = 1 << 20
+#: Bytes hashed at once; bounds the working memory whatever the text's length (some 32 bytes each, and 16 kept in a worker).
+_SEGMENT = 1 << 17
 #: Longest word in bytes that is hashed by prefix sums.
 LONG = 40
 _powers: dict[int, np.ndarray] = {}

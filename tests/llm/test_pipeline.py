@@ -187,3 +187,32 @@ def test_short_documents_take_a_worker_little_memory():
         peak = tracemalloc.get_traced_memory()[1] / 1e6
         tracemalloc.stop()
         assert got == len(batch) and peak < most
+
+
+def test_a_part_of_the_tokens_takes_a_worker_little_memory(spark, monkeypatch):
+    """Asking, answering and hashing words hold a few arrays of a part's tokens; a part is 4 MB of text."""
+    import tracemalloc
+
+    def peak(step, *args):
+        tracemalloc.start()
+        out = step(*args)
+        most = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        return out, most
+
+    rng = np.random.default_rng(4)
+    tokens = [np.sort(rng.integers(0, 2**63, 2000).astype(np.uint64)) for _ in range(300)]
+    tokens.append(tokens[0][:700])
+    sets = pa.table([pa.array([0] * 301, pa.int64()), pa.array([x.tobytes() for x in tokens], pa.binary())], names=["part", "tokens"])
+    ask, most = peak(jaccard_join._ask(60), sets)
+    assert most < 23 and sum(len(x) for x in ask.column("counts").to_pylist()) == 4 * 600_000
+    shares = ask.slice(0, 30).set_column(0, "bucket", pa.array([0] * 30, pa.int64())).set_column(1, "part", pa.array(range(30), pa.int64()))
+    answer, most = peak(jaccard_join._answer, pa.concat_tables([shares, shares]))
+    twice = [np.frombuffer(x, "<u4") * 2 for x in shares.column("counts").to_pylist()]
+    assert most < 40 and [x.tobytes() for x in twice] * 2 == answer.column("df").to_pylist()
+    buf, off = textnp.buffer_of(pa.array([" ".join(f"word{i}" for i in range(110_000)) + " " + "x" * 300_000]))
+    starts, ends, _ = textnp.word_spans(buf, off)
+    got, most = peak(textnp.word_hashes, buf, starts, ends)
+    monkeypatch.setattr(textnp, "_SEGMENT", 1 << 20)
+    assert most < 16 and (got == textnp.word_hashes(buf, starts, ends)).all()
+    assert jaccard_join.group_count(spark.range(12).selectExpr("repeat('x', 1048576) AS text")) == 3
